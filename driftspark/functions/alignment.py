@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOOK_AHEAD = 10  # fixed value: how far a changed section looks for a known line
+EDIT_LIMIT = 1000  # beyond this many edits one-sided lines are set aside first
 
 
 def line_tokens(text: str) -> list[str]:
@@ -22,10 +23,44 @@ def line_tokens(text: str) -> list[str]:
     return [t + "\n" for t in tokens[:-1]] + ([tokens[-1]] if tokens[-1] else [])
 
 
+def _kept_pairs(a: list[str], b: list[str], limit: int) -> list[tuple[int, int]] | None:
+    """Positions kept by a minimal edit script (furthest-reaching paths, Myers 1986).
+
+    None when more than ``limit`` edits are needed.
+    """
+    reached: dict[int, tuple[int, tuple | None]] = {1: (0, None)}
+    for size in range(min(limit, len(a) + len(b)) + 1):
+        for diagonal in range(-size, size + 1, 2):
+            left, right = reached.get(diagonal - 1), reached.get(diagonal + 1)
+            can_remove = left is not None and left[0] < len(a)
+            can_add = right is not None and 0 <= right[0] - diagonal <= len(b)
+            if can_add and (not can_remove or left[0] < right[0]):
+                x, trail = right
+            elif can_remove:
+                x, trail = left[0] + 1, left[1]
+            else:
+                reached.pop(diagonal, None)
+                continue
+            start = x
+            while x < len(a) and x - diagonal < len(b) and a[x] == b[x - diagonal]:
+                x += 1
+            if x > start:
+                trail = (start, start - diagonal, x - start, trail)
+            reached[diagonal] = (x, trail)
+            if x == len(a) and x - diagonal == len(b):
+                runs = []
+                while trail:
+                    runs.append(trail[:3])
+                    trail = trail[3]
+                return [(i + k, j + k) for i, j, n in reversed(runs) for k in range(n)]
+    return None
+
+
 def shortest_edits(old: list[str], new: list[str]) -> list[tuple[str, str]]:
-    """Minimal edit script (greedy furthest-reaching paths, Myers 1986).
+    """Minimal edit script; in each changed section removed lines come first.
 
-    Common ends are set aside first; they never change the script's length.
+    Common ends are set aside first. When the rest needs very many edits, lines
+    that only one side has are also set aside: they can never be kept.
     """
     head = 0
     while head < len(old) and head < len(new) and old[head] == new[head]:
@@ -34,42 +69,21 @@ def shortest_edits(old: list[str], new: list[str]) -> list[tuple[str, str]]:
     while tail < min(len(old), len(new)) - head and old[-1 - tail] == new[-1 - tail]:
         tail += 1
     a, b = old[head : len(old) - tail], new[head : len(new) - tail]
-
-    reached = {1: (0, None)}  # diagonal -> (old position, trail of steps)
-    script: list[tuple[str, str]] = []
-    for size in range(len(a) + len(b) + 1):
-        for diagonal in range(-size, size + 1, 2):
-            below, above = reached.get(diagonal - 1), reached.get(diagonal + 1)
-            if below is None or (above is not None and below[0] < above[0]):
-                x, trail = above
-                step = "+"
-            else:
-                x, trail = below[0] + 1, below[1]
-                step = "-"
-            y = x - diagonal
-            if x > len(a) or y > len(b) or y < 0:
-                reached.pop(diagonal, None)
-                continue
-            if size:
-                trail = (step, x, y, trail)
-            while x < len(a) and y < len(b) and a[x] == b[y]:
-                x, y = x + 1, y + 1
-            reached[diagonal] = (x, trail)
-            if x == len(a) and y == len(b):
-                steps = []
-                while trail:
-                    steps.append(trail[:3])
-                    trail = trail[3]
-                at = 0
-                for kind, sx, sy in reversed(steps):
-                    before = sx - (kind == "-")
-                    script += [("=", line) for line in a[at:before]]
-                    script.append((kind, a[sx - 1] if kind == "-" else b[sy - 1]))
-                    at = sx
-                script += [("=", line) for line in a[at:]]
-                kept = [("=", line) for line in old[:head]]
-                return kept + script + [("=", line) for line in old[len(old) - tail :]]
-    return script
+    kept = _kept_pairs(a, b, EDIT_LIMIT)
+    if kept is None:
+        in_a, in_b = set(a), set(b)
+        shared_a = [i for i, line in enumerate(a) if line in in_b]
+        shared_b = [j for j, line in enumerate(b) if line in in_a]
+        kept = _kept_pairs([a[i] for i in shared_a], [b[j] for j in shared_b], len(a) + len(b))
+        kept = [(shared_a[i], shared_b[j]) for i, j in kept]
+
+    script = [("=", line) for line in old[:head]]
+    i = j = 0
+    for next_i, next_j in [*kept, (len(a), len(b))]:
+        script += [("-", line) for line in a[i:next_i]] + [("+", line) for line in b[j:next_j]]
+        script += [("=", line) for line in a[next_i : next_i + 1]]
+        i, j = next_i + 1, next_j + 1
+    return script + [("=", line) for line in old[len(old) - tail :]]
 
 
 def changed_sections(old: list[str], new: list[str]) -> list[tuple[int, list[str], list[str]]]:
