@@ -6,13 +6,18 @@ do in linear memory; Spark partitions the pairs and these helpers see one pair.
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_left
 from collections import defaultdict
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Workers get these functions by value: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOOK_AHEAD = 10  # fixed value: how far a changed section looks for a known line
 EDIT_LIMIT = 1000  # beyond this many edits one-sided lines are set aside first
 
