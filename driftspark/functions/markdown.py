@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from driftspark.functions import patterns as P
-from driftspark.functions.text import newline_count, trim_all
+from driftspark.functions.text import gaps, newline_count, trim_all
 
 BLOCK_TYPE = "array<struct<language:string,start_line:int,end_line:int,code:string>>"
 
@@ -18,9 +18,8 @@ def fenced_blocks(content: Column) -> Column:
     a block is a running sum over both. An empty block ends before it starts.
     """
     blocks = F.regexp_extract_all(content, F.lit(P.FENCED_BLOCK), F.lit(0))
-    gaps = F.split(content, P.FENCED_BLOCK, -1)
     sized = F.zip_with(
-        gaps,
+        gaps(content, P.FENCED_BLOCK),
         blocks,
         lambda gap, block: F.struct(newline_count(gap).alias("gap"), block.alias("block")),
     )
@@ -35,8 +34,8 @@ def fenced_blocks(content: Column) -> Column:
             F.regexp_extract(item["block"], r"^[^\n]*\n([\s\S]*)\n```$", 1).alias("code"),
         )
         return F.struct(
-            (opener + rows).cast("int").alias("line"),
-            F.array_append(state["found"], entry).cast(BLOCK_TYPE).alias("found"),
+            (opener + rows).alias("line"),
+            F.array_append(state["found"], entry).alias("found"),
         )
 
     start = F.struct(F.lit(1).alias("line"), F.array().cast(BLOCK_TYPE).alias("found"))

@@ -67,16 +67,25 @@ def texts_where(cases: list[tuple[Column, str | Column]]) -> Column:
 
 
 SPAN_TYPE = "array<struct<text:string,pos:int>>"
+CUT = "\ufdd0"  # a noncharacter: never part of interchanged text
+
+
+def gaps(text: Column, pattern: str) -> Column:
+    """The text between the matches of a pattern.
+
+    Matches are replaced by one character to split on: a replace keeps its
+    compiled pattern from row to row, a split by pattern compiles it every time.
+    """
+    return F.split(F.regexp_replace(text, pattern, CUT), CUT, -1)
 
 
 def spans(text: Column, pattern: str) -> Column:
     """Matches of a pattern with their 0-based character positions.
 
-    The text between the matches comes from splitting on the same pattern, so
-    positions are a running sum over both.
+    Positions are a running sum over the matches and the gaps between them.
     """
     pairs = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
+        gaps(text, pattern).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
     )
     pairs = F.filter(pairs, lambda pair: pair["hit"].isNotNull())
@@ -86,7 +95,7 @@ def spans(text: Column, pattern: str) -> Column:
         entry = F.struct(pair["hit"].alias("text"), pos.alias("pos"))
         return F.struct(
             (pos + F.length(pair["hit"])).alias("pos"),
-            F.array_append(state["found"], entry).cast(SPAN_TYPE).alias("found"),
+            F.array_append(state["found"], entry).alias("found"),
         )
 
     start = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN_TYPE).alias("found"))

@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core also for a table that is stored as a few small files.
+
+    A table with at least one split per core is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _by(column: str, cases: dict[str, Column | str], otherwise: Column | str) -> Column:
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
     picked = as_column(otherwise)
@@ -27,7 +36,7 @@ def _by(column: str, cases: dict[str, Column | str], otherwise: Column | str) ->
 
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Old and new file snapshot: labels decide which documents each side lacks."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels")
     extension = _by("lang", {"en": ".ts", "fr": ".test.ts", "de": ".py"}, ".JSX")
     path = F.concat(F.lit("src/"), "source", F.lit("/"), "doc_id", extension)
@@ -108,7 +117,7 @@ def part_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
     Promo parts have broken source; large parts are files of another language.
     """
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     template = """import React, {{ useState as us_{k} }} from 'react';
 import * as u{k} from './{type}';
 /**
@@ -197,7 +206,7 @@ def search_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def prose_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
     return docs.select(F.lit("corpus").alias("repo"), path.alias("path"), F.col("text").alias("content"))
 
@@ -207,7 +216,7 @@ def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False)
 
     French documents end with an empty block, Spanish ones with an open fence.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     content = F.concat(
         F.lit("# Doc "),
         "doc_id",
@@ -237,7 +246,7 @@ def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False)
 
 def update_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an edited version: lines put first, last or in a fence."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     updated = _by(
         "lang",
         {
