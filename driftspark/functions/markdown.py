@@ -21,17 +21,26 @@ def fenced_blocks(content: Column) -> Column:
     sized = F.zip_with(
         gaps(content, P.FENCED_BLOCK),
         blocks,
-        lambda gap, block: F.struct(newline_count(gap).alias("gap"), block.alias("block")),
+        lambda gap, block: F.struct(
+            newline_count(gap).alias("gap"),
+            block.alias("block"),
+            newline_count(block).alias("rows"),
+            F.length(F.substring_index(block, "\n", 1)).alias("opener"),
+        ),
     )
 
     def add(state: Column, item: Column) -> Column:
         opener = state["line"] + item["gap"]
-        rows = newline_count(item["block"])
+        rows = item["rows"]
+        # Without the opener line, its line end, and the closing line.
+        size = F.length(item["block"]) - item["opener"] - 5
         entry = F.struct(
             F.regexp_extract(item["block"], r"^```(\w*)", 1).alias("language"),
             (opener + 1).alias("start_line"),
             (opener + rows - 1).alias("end_line"),
-            F.regexp_extract(item["block"], r"^[^\n]*\n([\s\S]*)\n```$", 1).alias("code"),
+            F.when(size > 0, F.substring(item["block"], item["opener"] + 2, size))
+            .otherwise("")
+            .alias("code"),
         )
         return F.struct(
             (opener + rows).alias("line"),

@@ -19,11 +19,17 @@ def lines_of(text: Column) -> Column:
 
 
 def newline_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return F.size(F.split(text, "\n", -1)) - 1
 
 
-def matches(text: Column, pattern: str) -> Column:
-    return F.coalesce(text.rlike(pattern), F.lit(False))
+def matches(text: Column, pattern: str, needs: str = "") -> Column:
+    """Pattern test, false for null.
+
+    ``needs`` is a literal that every match contains: looking for it first spares
+    most texts the regular expression.
+    """
+    found = text.contains(needs) & text.rlike(pattern) if needs else text.rlike(pattern)
+    return F.coalesce(found, F.lit(False))
 
 
 def tokens_of(text: Column) -> Column:

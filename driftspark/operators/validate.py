@@ -14,11 +14,12 @@ def _text(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
-def content_errors(updated: Column) -> Column:
+def content_errors(updated: Column, fences: Column | None = None) -> Column:
     """Errors of an updated text: empty, or a fence that is not well formed."""
     empty = F.when(trim_all(_text(updated)) == "", F.lit("Updated content is empty"))
+    blocks = raw_fences(_text(updated)) if fences is None else fences
     malformed = F.transform(
-        F.filter(raw_fences(_text(updated)), lambda block: ~is_valid_fence(block)),
+        F.filter(blocks, lambda block: ~is_valid_fence(block)),
         lambda block: F.concat(
             F.lit("Code block has malformed markdown: "), F.left(block, F.lit(50)), F.lit("...")
         ),
@@ -26,10 +27,17 @@ def content_errors(updated: Column) -> Column:
     return F.concat(texts_where([(empty.isNotNull(), empty)]), malformed)
 
 
-def content_warnings(original: Column, updated: Column) -> Column:
-    """Warnings about structure that an update lost."""
-    old, new = _text(original), _text(updated)
-    old_blocks, new_blocks = F.size(raw_fences(old)), F.size(raw_fences(new))
+def _features(name: str, text: Column) -> Column:
+    """What the warnings compare, found once per text."""
+    return F.struct(
+        raw_fences(text).alias("fences"),
+        (F.size(headers(text)) > 0).alias("headers"),
+        matches(text, P.LIST_ITEM).alias("items"),
+    ).alias(name)
+
+
+def _warnings(same: Column, old: Column, new: Column) -> Column:
+    old_blocks, new_blocks = F.size(old["fences"]), F.size(new["fences"])
     fewer = F.concat(
         F.lit("Number of code blocks decreased from "),
         old_blocks.cast("string"),
@@ -38,15 +46,9 @@ def content_warnings(original: Column, updated: Column) -> Column:
     )
     return texts_where(
         [
-            (updated.eqNullSafe(original), "Updated content is identical to original"),
-            (
-                (F.size(headers(old)) > 0) & (F.size(headers(new)) == 0),
-                "All markdown headers were removed",
-            ),
-            (
-                matches(old, P.LIST_ITEM) & ~matches(new, P.LIST_ITEM),
-                "List formatting may have been removed",
-            ),
+            (same, "Updated content is identical to original"),
+            (old["headers"] & ~new["headers"], "All markdown headers were removed"),
+            (old["items"] & ~new["items"], "List formatting may have been removed"),
             ((old_blocks > 0) & (new_blocks == 0), "All code examples were removed"),
             ((new_blocks > 0) & (old_blocks > new_blocks + 1), fewer),
         ]
@@ -56,8 +58,14 @@ def content_warnings(original: Column, updated: Column) -> Column:
 def validate_updates(updates: DataFrame) -> DataFrame:
     """Adds ``is_valid``, ``errors`` and ``warnings``; nothing is shuffled."""
     original, updated = F.col("original_content"), F.col("updated_content")
+    found = updates.select(
+        "*", _features("_old", _text(original)), _features("_new", _text(updated))
+    )
     return (
-        updates.withColumn("errors", content_errors(updated))
-        .withColumn("warnings", content_warnings(original, updated))
+        found.withColumn("errors", content_errors(updated, F.col("_new.fences")))
+        .withColumn(
+            "warnings", _warnings(updated.eqNullSafe(original), F.col("_old"), F.col("_new"))
+        )
         .withColumn("is_valid", F.size("errors") == 0)
+        .drop("_old", "_new")
     )

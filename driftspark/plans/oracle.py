@@ -151,23 +151,24 @@ def quote(text: str) -> str:
 
 
 def _matches(pattern: str, text: str) -> str:
-    """RE2 form of a feature pattern: word borders there are ASCII already."""
-    from driftspark.functions import patterns as P
+    """Any document of the group matches; RE2's classes and borders are ASCII."""
+    from driftspark.functions.patterns import SPACE
 
-    plain = pattern.replace(P.SPACE, r"\s").replace(P.WORD_START, r"\b").replace(P.WORD_END, r"\b")
-    return f"bool_or(regexp_matches({text}, {quote(plain)}))"
+    return f"bool_or(regexp_matches({text}, {quote(pattern.replace(SPACE, chr(92) + 's'))}))"
 
 
 def _listed(features, text: str) -> str:
     flags = ", ".join(
-        f"CASE WHEN {_matches(p, text)} THEN {quote(label)} END" for p, label in features
+        f"CASE WHEN {_matches(LAZY_FENCE if n == '```' else p, text)} THEN {quote(label)} END" for p, n, label in features
     )
     return f"concat_ws('; ', {flags})"
 
 
+LAZY_FENCE = r"```\w*\n[\s\S]*?\n```"
+YOU, WE = r"(?i)\b(you|your)\b", r"(?i)\b(we|our|us)\b"
 TONE = (
-    f"CASE WHEN {_matches(style.SECOND_PERSON, 'content')} OR {_matches(style.IMPERATIVE, 'content')} THEN {quote(style.DIRECT)} "
-    f"WHEN {_matches(style.FIRST_PERSON, 'content')} THEN {quote(style.COLLABORATIVE)} ELSE {quote(style.FORMAL)} END"
+    f"CASE WHEN {_matches(YOU, 'content')} OR {_matches(style.IMPERATIVE, 'content')} THEN {quote(style.DIRECT)} "
+    f"WHEN {_matches(WE, 'content')} THEN {quote(style.COLLABORATIVE)} ELSE {quote(style.FORMAL)} END"
 )
 FORMATTING = f"coalesce(nullif({_listed(style.FORMATTING, 'content')}, ''), {quote(style.PLAIN_FORMATTING)})"
 CONVENTIONS = f"coalesce(nullif({_listed(style.CONVENTIONS, 'content')}, ''), {quote(style.PLAIN_CONVENTION)})"
