@@ -34,6 +34,15 @@ def _by(column: str, cases: dict[str, Column | str], otherwise: Column | str) ->
     return picked
 
 
+def corpus() -> Column:
+    """The one corpus of the search queries, read off each row's text.
+
+    A literal would be folded out of join conditions on the corpus and leave
+    joins without keys.
+    """
+    return F.concat(F.lit("corpus"), F.left("text", F.lit(0)))
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Old and new file snapshot: labels decide which documents each side lacks."""
     docs = spread(table(spark, sf_dir, "documents"))
@@ -175,13 +184,16 @@ export default f_{k};
 def search_apis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """APIs named like the longer words of each benchmark item."""
     words = table(spark, sf_dir, "benchmark").select(
+        corpus().alias("repo"),
         "item_id",
         F.posexplode(F.regexp_extract_all("text", F.lit(rf"[{WORD}]+"), F.lit(0))).alias("pos", "name"),
     )
-    first = words.filter(F.length("name") >= 5).groupBy("item_id", "name").agg(F.min("pos").alias("pos"))
+    first = words.filter(F.length("name") >= 5).groupBy("repo", "item_id", "name").agg(
+        F.min("pos").alias("pos")
+    )
     none = F.lit(None).cast("string")
     return first.select(
-        F.lit("corpus").alias("repo"),
+        "repo",
         F.concat(F.lit("src/bench/"), "item_id", F.lit(".ts")).alias("path"),
         F.col("pos").alias("ordinal"),
         F.lit("function").alias("kind"),
@@ -208,7 +220,7 @@ def search_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def prose_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents"))
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
-    return docs.select(F.lit("corpus").alias("repo"), path.alias("path"), F.col("text").alias("content"))
+    return docs.select(corpus().alias("repo"), path.alias("path"), F.col("text").alias("content"))
 
 
 def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False) -> DataFrame:
@@ -238,7 +250,7 @@ def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False)
         ),
     )
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
-    repo = F.concat("source", F.lit("/"), "lang") if per_language else F.lit("corpus")
+    repo = F.concat("source", F.lit("/"), "lang") if per_language else corpus()
     return docs.select(
         repo.alias("repo"), path.alias("path"), content.alias("content"), "doc_id", "lang", "text"
     )
