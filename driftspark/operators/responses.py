@@ -60,7 +60,10 @@ def parse_update_answers(answers: DataFrame, response: str = "response") -> Data
     why = F.when(F.length("_why") > 0, F.col("_why")).otherwise(NO_REASON)
     return (
         parsed.withColumn("is_structured", structured)
-        .withColumn("updated_content", F.when(F.col("is_structured"), F.col("_new")).otherwise(trim_all(plain)))
+        .withColumn(
+            "updated_content",
+            F.when(F.col("is_structured"), F.col("_new")).otherwise(trim_all(plain)),
+        )
         .withColumn("reasoning", F.when(F.col("is_structured"), why).otherwise(UNSTRUCTURED))
         .drop("_new", "_why")
     )
@@ -111,7 +114,8 @@ def first_valid(
     """
     tried = judged_answers(answers.filter(F.col("attempt") <= limit), validated)
     good = F.col("problem").isNull()
-    picked = F.struct("attempt", "updated_content", "reasoning") if "reasoning" in answers.columns else F.struct("attempt", "updated_content")
+    carried = [c for c in ("attempt", "updated_content", "reasoning") if c in answers.columns]
+    picked = F.struct(*carried)
     grouped = tried.groupBy(*keys).agg(
         F.min_by(F.when(good, picked), F.when(good, F.col("attempt"))).alias("chosen"),
         F.max_by("problem", "attempt").alias("last_problem"),
