@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
+from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op5_exact_dedup": op5_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op5_exact_dedup": OP5_SQL,
 }
