@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
 from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from driftspark.llm.licenses import op9_license_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_license_scan": op9_license_scan,
 }
 
 ORACLE: dict[str, str] = {
