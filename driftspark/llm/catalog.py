@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
 from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from driftspark.llm.licenses import op9_license_scan
+from driftspark.llm.packing import op6_packing
 from driftspark.llm.token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
     "op9_license_scan": op9_license_scan,
 }
 
