@@ -11,12 +11,14 @@ from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from driftspark.llm.licenses import op9_license_scan
 from driftspark.llm.packing import op6_packing
 from driftspark.llm.pii import op7_pii
+from driftspark.llm.quality import op3_quality
 from driftspark.llm.secrets import op8_secret_scan
 from driftspark.llm.token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
+    "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
