@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
 from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from driftspark.llm.jaccard import OP4_SQL, op4_jaccard_join
 from driftspark.llm.licenses import op9_license_scan
 from driftspark.llm.packing import op6_packing
 from driftspark.llm.pii import op7_pii
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
@@ -28,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op4_jaccard_join": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
