@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
 from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from driftspark.llm.jaccard import OP4_SQL, op4_jaccard_join
+from driftspark.llm.language_model import op10_language_model
 from driftspark.llm.licenses import op9_license_scan
 from driftspark.llm.packing import op6_packing
 from driftspark.llm.pii import op7_pii
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLE: dict[str, str] = {
