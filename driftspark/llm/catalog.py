@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from driftspark.llm.decontamination import OP1_SQL, op1_decontamination
 from driftspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from driftspark.llm.jaccard import OP4_SQL, op4_jaccard_join
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_language_model": op10_language_model,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
