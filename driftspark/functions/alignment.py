@@ -18,115 +18,65 @@ from pyspark.sql import types as T
 # Workers get these functions by value: the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LOOK_AHEAD = 10  # fixed value: how far a changed section looks for a known line
-EDIT_LIMIT = 1000  # beyond this many edits one-sided lines are set aside first
-
-
 def line_tokens(text: str) -> list[str]:
     """Lines with their line end; a last line without one is its own token."""
     tokens = text.split("\n")
     return [t + "\n" for t in tokens[:-1]] + ([tokens[-1]] if tokens[-1] else [])
 
 
-def _kept_pairs(a: list[str], b: list[str], limit: int) -> list[tuple[int, int]] | None:
-    """Positions kept by a minimal edit script (furthest-reaching paths, Myers 1986).
-
-    None when more than ``limit`` edits are needed.
-    """
-    reached: dict[int, tuple[int, tuple | None]] = {1: (0, None)}
-    for size in range(min(limit, len(a) + len(b)) + 1):
-        for diagonal in range(-size, size + 1, 2):
-            left, right = reached.get(diagonal - 1), reached.get(diagonal + 1)
-            can_remove = left is not None and left[0] < len(a)
-            can_add = right is not None and 0 <= right[0] - diagonal <= len(b)
-            if can_add and (not can_remove or left[0] < right[0]):
-                x, trail = right
-            elif can_remove:
-                x, trail = left[0] + 1, left[1]
-            else:
-                reached.pop(diagonal, None)
-                continue
-            start = x
-            while x < len(a) and x - diagonal < len(b) and a[x] == b[x - diagonal]:
-                x += 1
-            if x > start:
-                trail = (start, start - diagonal, x - start, trail)
-            reached[diagonal] = (x, trail)
-            if x == len(a) and x - diagonal == len(b):
-                runs = []
-                while trail:
-                    runs.append(trail[:3])
-                    trail = trail[3]
-                return [(i + k, j + k) for i, j, n in reversed(runs) for k in range(n)]
-    return None
-
-
-def shortest_edits(old: list[str], new: list[str]) -> list[tuple[str, str]]:
-    """Minimal edit script; in each changed section removed lines come first.
+def kept_pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Positions of a longest common run of lines (Hunt and Szymanski 1977).
 
-    Common ends are set aside first. When the rest needs very many edits, lines
-    that only one side has are also set aside: they can never be kept.
+    The matching positions of ``b`` are taken line by line of ``a``, last first, and the
+    longest rising run among them is kept: n log n steps over integers, plus one for
+    each further copy of a line that both sides repeat. Equal ends are set aside first.
     """
     head = 0
-    while head < len(old) and head < len(new) and old[head] == new[head]:
+    while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
     tail = 0
-    while tail < min(len(old), len(new)) - head and old[-1 - tail] == new[-1 - tail]:
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    a, b = old[head : len(old) - tail], new[head : len(new) - tail]
-    kept = _kept_pairs(a, b, EDIT_LIMIT)
-    if kept is None:
-        in_a, in_b = set(a), set(b)
-        shared_a = [i for i, line in enumerate(a) if line in in_b]
-        shared_b = [j for j, line in enumerate(b) if line in in_a]
-        kept = _kept_pairs([a[i] for i in shared_a], [b[j] for j in shared_b], len(a) + len(b))
-        kept = [(shared_a[i], shared_b[j]) for i, j in kept]
-
-    script = [("=", line) for line in old[:head]]
+    places = defaultdict(list)
+    for j in range(len(b) - tail - 1, head - 1, -1):
+        places[b[j]].append(j)
+    tops: list[int] = []
+    trails: list[tuple | None] = []
+    for i in range(head, len(a) - tail):
+        for j in places.get(a[i], ()):
+            place = bisect_left(tops, j)
+            if place < len(tops) and tops[place] == j:
+                continue
+            tops[place : place + 1] = [j]
+            trails[place : place + 1] = [(i, j, trails[place - 1] if place else None)]
+    middle = []
+    trail = trails[-1] if trails else None
+    while trail:
+        middle.append(trail[:2])
+        trail = trail[2]
+    ends = [(len(a) - n, len(b) - n) for n in range(tail, 0, -1)]
+    return [(i, i) for i in range(head)] + middle[::-1] + ends
+
+
+def shortest_edits(old: list[str], new: list[str]) -> list[tuple[str, str]]:
+    """Minimal edit script; in each changed section removed lines come first."""
+    script = []
     i = j = 0
-    for next_i, next_j in [*kept, (len(a), len(b))]:
-        script += [("-", line) for line in a[i:next_i]] + [("+", line) for line in b[j:next_j]]
-        script += [("=", line) for line in a[next_i : next_i + 1]]
+    for next_i, next_j in [*kept_pairs(old, new), (len(old), len(new))]:
+        script += [("-", line) for line in old[i:next_i]] + [("+", line) for line in new[j:next_j]]
+        script += [("=", line) for line in old[next_i : next_i + 1]]
         i, j = next_i + 1, next_j + 1
-    return script + [("=", line) for line in old[len(old) - tail :]]
+    return script
 
 
 def changed_sections(old: list[str], new: list[str]) -> list[tuple[int, list[str], list[str]]]:
-    """Changed sections as (1-based old line, old lines, new lines).
-
-    At a difference, old lines are taken until one recurs within the next
-    ``LOOK_AHEAD`` new lines, then new lines until one recurs in the old ones.
-    Where both current lines recur (lines changed places) one line of each side
-    is taken, so the scan always ends.
-    """
-
-    def places(lines: list[str]) -> dict[str, list[int]]:
-        found = defaultdict(list)
-        for at, line in enumerate(lines):
-            found[line].append(at)
-        return found
-
-    in_old, in_new = places(old), places(new)
-
-    def recurs(line: str, where: dict[str, list[int]], start: int) -> bool:
-        spots = where.get(line, [])
-        nearest = bisect_left(spots, start)
-        return nearest < len(spots) and spots[nearest] < start + LOOK_AHEAD
-
+    """Runs between kept lines as (1-based old line, old lines, new lines)."""
     sections = []
     i = j = 0
-    while i < len(old) or j < len(new):
-        if i < len(old) and j < len(new) and old[i] == new[j]:
-            i, j = i + 1, j + 1
-            continue
-        first_i, first_j = i, j
-        while i < len(old) and not recurs(old[i], in_new, j):
-            i += 1
-        while j < len(new) and not recurs(new[j], in_old, i):
-            j += 1
-        if (i, j) == (first_i, first_j):
-            i, j = min(i + 1, len(old)), min(j + 1, len(new))
-        sections.append((first_i + 1, old[first_i:i], new[first_j:j]))
+    for next_i, next_j in [*kept_pairs(old, new), (len(old), len(new))]:
+        if i < next_i or j < next_j:
+            sections.append((i + 1, old[i:next_i], new[j:next_j]))
+        i, j = next_i + 1, next_j + 1
     return sections
 
 

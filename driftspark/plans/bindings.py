@@ -257,14 +257,15 @@ def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False)
 
 
 def update_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with an edited version: lines put first, last or in a fence."""
+    """Documents with an edited version: lines put first, last, inside or in a fence."""
     docs = spread(table(spark, sf_dir, "documents"))
+    inserted = "".join(f"Inserted {i}\n" for i in range(1, 13))
     updated = _by(
         "lang",
         {
             "en": F.concat("text", F.lit("\nNew closing line.")),
             "fr": F.concat(F.lit("New opening line (see notes)\n"), "text"),
-            "de": F.col("text"),
+            "de": F.regexp_replace("text", r"^([^\n]*)\n", f"$1\n{inserted}"),
         },
         F.concat(F.lit("```\ncode\n```\n"), "text"),
     )

@@ -309,19 +309,21 @@ ORACLE: dict[str, str] = {
         {quote(style.DEFAULT_EXAMPLES)}, 'TypeScript', 'markdown' FROM part""",
     "context_examples": f"""WITH {SEARCH}, {MARKDOWN}, {EXAMPLES} SELECT path, start_line, end_line, api_name, 'Python' AS project_language FROM examples""",
     "line_deltas": f"""WITH {PAIRS}, numbered AS (SELECT repo, path, lang, n, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM pairs)
-      SELECT repo, path, CASE lang WHEN 'fr' THEN i WHEN 'es' THEN i + 2 ELSE i - 1 END AS seq,
+      SELECT repo, path, CASE WHEN lang = 'fr' THEN i WHEN lang = 'es' THEN i + 2 WHEN lang = 'de' AND i > 1 THEN i + 11 ELSE i - 1 END AS seq,
         CASE WHEN lang = 'en' AND i = n THEN '-' ELSE '=' END AS op, line FROM numbered
+      UNION ALL SELECT repo, path, v.i, '+', concat('Inserted ', v.i) FROM pairs CROSS JOIN generate_series(1, 12) v(i) WHERE lang = 'de' AND n > 1
       UNION ALL SELECT repo, path, n, '+', line FROM numbered WHERE lang = 'en' AND i = n
       UNION ALL SELECT repo, path, n + 1, '+', 'New closing line.' FROM pairs WHERE lang = 'en'
       UNION ALL SELECT repo, path, 0, '+', 'New opening line (see notes)' FROM pairs WHERE lang = 'fr'
       UNION ALL SELECT repo, path, v.i, '+', v.line FROM pairs CROSS JOIN (VALUES (0, '```'), (1, 'code'), (2, '```')) v(i, line) WHERE lang = 'es'""",
     "changed_hunks": f"""WITH {PAIRS} SELECT repo, path, 0 AS seq,
-        CASE lang WHEN 'en' THEN 'addition' WHEN 'fr' THEN 'signature' ELSE 'example' END AS type,
-        CASE lang WHEN 'en' THEN n + 1 ELSE 1 END AS start_line,
-        CASE lang WHEN 'en' THEN n + 1 WHEN 'fr' THEN 1 ELSE 3 END AS end_line, '' AS old_content,
+        CASE lang WHEN 'en' THEN 'addition' WHEN 'de' THEN 'addition' WHEN 'fr' THEN 'signature' ELSE 'example' END AS type,
+        CASE lang WHEN 'en' THEN n + 1 WHEN 'de' THEN 2 ELSE 1 END AS start_line,
+        CASE lang WHEN 'en' THEN n + 1 WHEN 'de' THEN 13 WHEN 'fr' THEN 1 ELSE 3 END AS end_line, '' AS old_content,
         CASE lang WHEN 'en' THEN 'New closing line.' WHEN 'fr' THEN 'New opening line (see notes)'
+          WHEN 'de' THEN array_to_string([concat('Inserted ', i) FOR i IN generate_series(1, 12)], {NL})
           ELSE concat('```', {NL}, 'code', {NL}, '```') END AS new_content
-      FROM pairs WHERE lang <> 'de'""",
+      FROM pairs WHERE lang <> 'de' OR n > 1""",
     "validated_updates": f"""WITH {RISKY}, m AS (SELECT *, regexp_extract_all(updated, {RAW_FENCE}) AS nb, len(regexp_extract_all(original, {RAW_FENCE})) AS ob FROM risky),
       e AS (SELECT *, concat_ws('|', CASE WHEN regexp_matches(updated, '^\\s*$') THEN 'Updated content is empty' END,
           list_aggregate([concat('Code block has malformed markdown: ', left(f, 50), '...') FOR f IN nb IF NOT ({VALID_FENCE})], 'string_agg', '|')) AS errors,
