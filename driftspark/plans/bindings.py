@@ -124,7 +124,8 @@ def part_apis(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def part_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Old and new source files, one per part, with every kind of declaration.
 
-    Promo parts have broken source; large parts are files of another language.
+    New promo parts have broken source, old ones only where the size is even; every
+    fifth small part had broken source. Large parts are files of another language.
     """
     part = spread(table(spark, sf_dir, "part"))
     template = """import React, {{ useState as us_{k} }} from 'react';
@@ -160,13 +161,13 @@ export default f_{k};
         F.lit("src/part_"), "p_partkey", _by("p_type", {"LARGE": ".py"}, ".ts")
     ).alias("path")
 
-    def side(b: Column, g: Column) -> DataFrame:
+    def side(b: Column, g: Column, broken: str) -> DataFrame:
         holes = {
             "k": F.col("p_partkey").cast("string"),
             "type": F.lower("p_type"),
             "name": F.col("p_name"),
             "size": F.col("p_size").cast("string"),
-            "close": _by("p_type", {"PROMO": ""}, ")"),
+            "close": F.when(F.expr(broken), "").otherwise(")"),
             "b": b,
             "g": g,
         }
@@ -177,8 +178,9 @@ export default f_{k};
     old = side(
         F.when(F.col("p_size") > 25, "string").otherwise("number"),
         F.when(F.col("p_size") < 10, "").otherwise(arrow),
+        "(p_type = 'PROMO' AND p_size % 2 = 0) OR (p_type = 'SMALL' AND p_size % 5 = 0)",
     )
-    return old, side(F.lit("number"), arrow)
+    return old, side(F.lit("number"), arrow, "p_type = 'PROMO'")
 
 
 def search_apis(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -26,7 +25,7 @@ from driftspark.operators import (
     validate,
 )
 from driftspark.plans import bindings as b
-from driftspark.streaming.watch import checkpoint_root, watch
+from driftspark.streaming.watch import VERSIONS, checkpoint_root, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,31 +98,34 @@ def diff_eligible_files(spark, sf_dir):
 
 @query
 def streamed_changes(spark, sf_dir):
-    """Changes from a stream of file versions, one file per source and language."""
-    stored = b.table(spark, sf_dir, "documents")
-    stream = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/documents*.parquet")
-    versions = stream.select(
+    """Changes from a stream of file versions, one file per document, in three batches:
+    all texts, new texts of the longer documents, the end of the shorter ones."""
+    docs = b.table(spark, sf_dir, "documents")
+    root = checkpoint_root(spark)
+    run = uuid.uuid4().hex
+    inbox, out, name = f"{root}/versions-{run}", f"{root}/changes-{run}", f"watch-{run}"
+    file = [
         F.col("source").alias("repo"),
-        F.concat(F.lit("src/"), "lang", F.lit(".ts")).alias("path"),
-        F.col("doc_id").alias("version"),
-        F.col("text").alias("content"),
-    )
-    unset = spark.conf.get("spark.checkpoint.dir", None) is None
-    root = checkpoint_root(spark, tempfile.mkdtemp(prefix="run-") if unset else None)
-    out = f"{root}/changes-{uuid.uuid4().hex}"
+        F.concat(F.lit("src/"), "doc_id", F.lit(".ts")).alias("path"),
+    ]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    watch(
-        versions, store, f"watch-{uuid.uuid4().hex}", checkpoint=root, available_now=True
-    ).awaitTermination()
+    longer, shorter = F.col("n_chars") > 1500, F.col("n_chars") < 300
+    revised = F.concat("text", F.lit("\nReviewed"))
+    for version, (rows, content) in enumerate(
+        [(F.lit(True), F.col("text")), (longer, revised), (shorter, F.lit(None).cast("string"))]
+    ):
+        batch = docs.filter(rows).select(
+            *file, F.lit(version).cast("long").alias("version"), content.alias("content")
+        )
+        batch.write.mode("append").parquet(inbox)
+        versions = spark.readStream.schema(VERSIONS).parquet(inbox)
+        watch(versions, store, name, available_now=True).awaitTermination()
     return spark.read.parquet(out).drop("batch")
 
 
-# API diff
-
-
 @query
 def added_apis(spark, sf_dir):
     """C1"""
@@ -285,10 +287,21 @@ def built_signatures(spark, sf_dir):
     return new.select("repo", "path", "ordinal", signature.alias("signature"))
 
 
+def _changed_sources(spark, sf_dir):
+    found = changes.diff_eligible(changes.detect_changes(*b.part_sources(spark, sf_dir)))
+    return extract.split_unreadable(found)
+
+
+@query
+def unreadable_changes(spark, sf_dir):
+    """V4: error rows of changed files that cannot be read now or could not before."""
+    return _changed_sources(spark, sf_dir)[1]
+
+
 @query
 def source_drift(spark, sf_dir):
-    """Severity of every changed source file."""
-    found = changes.diff_eligible(changes.detect_changes(*b.part_sources(spark, sf_dir)))
+    """Severity of every changed source file that can be read."""
+    found, _ = _changed_sources(spark, sf_dir)
     current = found.select("repo", "path", "language", "content")
     previous = found.select(
         "repo", "path", "language", F.coalesce("previous_content", F.lit("")).alias("content")
@@ -665,5 +678,5 @@ def run_metrics(spark, sf_dir):
         _graded(spark, sf_dir, "minor"),
         updates,
         review.approved_updates(_decided(spark, sf_dir)),
-        unreadable_files(spark, sf_dir),
+        unreadable_changes(spark, sf_dir),
     )

@@ -94,6 +94,13 @@ READABLE_PARTS = """p AS (SELECT p_brand AS repo, concat('src/part_', p_partkey,
   UNION ALL SELECT p_brand, concat('src/part_', p_partkey, '.py'), CAST(p_partkey AS VARCHAR), p_name, p_type, p_size
   FROM part WHERE p_type = 'LARGE')"""
 
+# A part's file changes by its size, or by a bracket that only one version lacks.
+CHANGED_PARTS = """changed_parts AS (
+  SELECT p_brand AS repo, concat('src/part_', p_partkey, CASE p_type WHEN 'LARGE' THEN '.py' ELSE '.ts' END) AS path, p_size,
+         CASE WHEN p_type = 'LARGE' THEN 'unsupported language python'
+              WHEN p_type = 'PROMO' OR (p_type = 'SMALL' AND p_size % 5 = 0) THEN 'unbalanced brackets' END AS problem
+  FROM part WHERE p_size > 25 OR p_size < 10 OR (p_type = 'PROMO' AND p_size % 2 = 1) OR (p_type = 'SMALL' AND p_size % 5 = 0))"""
+
 SEARCH = f"""words AS (SELECT item_id, unnest(ws) AS name, generate_subscripts(ws, 1) - 1 AS pos
   FROM (SELECT item_id, regexp_extract_all(text, {TOKENS}) AS ws FROM benchmark)),
 apis AS (SELECT 'corpus' AS repo, concat('src/bench/', item_id, '.ts') AS path, name, CAST(min(pos) AS INTEGER) AS ordinal,
@@ -220,9 +227,11 @@ ORACLE: dict[str, str] = {
     "file_languages": f"WITH {SNAPSHOTS} SELECT language, count(*) AS n_files FROM old_files GROUP BY language",
     "diff_eligible_files": f"""WITH {SNAPSHOTS} SELECT repo, change_type, count(*) AS n_files FROM changes
       WHERE change_type = 'added' OR length(previous_content) > 0 GROUP BY repo, change_type""",
-    "streamed_changes": """SELECT source AS repo, concat('src/', lang, '.ts') AS path, 'added' AS change_type,
-      'typescript' AS language, arg_max(text, doc_id) AS content, CAST(NULL AS VARCHAR) AS previous_content
-      FROM documents GROUP BY source, lang""",
+    "streamed_changes": f"""WITH files AS (SELECT source AS repo, concat('src/', doc_id, '.ts') AS path, text, n_chars,
+        concat(text, {NL}, 'Reviewed') AS revised FROM documents)
+      SELECT repo, path, 'added' AS change_type, 'typescript' AS language, text AS content, CAST(NULL AS VARCHAR) AS previous_content FROM files
+      UNION ALL SELECT repo, path, 'modified', 'typescript', revised, text FROM files WHERE n_chars > 1500
+      UNION ALL SELECT repo, path, 'deleted', 'typescript', '', text FROM files WHERE n_chars < 300""",
     "added_apis": f"WITH {PARTS}, {ADDED} SELECT repo, path, name, ordinal, signature FROM added",
     "removed_apis": f"WITH {PARTS}, {REMOVED} SELECT repo, path, name, ordinal, signature FROM removed",
     "matched_apis": f"WITH {PARTS}, {MATCHED} SELECT repo, path, name, old_ordinal, new_ordinal, len(details) AS n_changes FROM matched",
@@ -272,10 +281,10 @@ ORACLE: dict[str, str] = {
     "built_signatures": f"""WITH {PARTS} SELECT repo, path, ordinal, concat('function ', name, '(size: ', size_type,
         CASE WHEN n_params = 2 THEN ', unit?: string = "mm"' ELSE '' END, ')',
         CASE WHEN return_type IS NULL THEN '' ELSE concat(': ', return_type) END) AS signature FROM new_apis""",
-    "source_drift": """SELECT p_brand AS repo, concat('src/part_', p_partkey, CASE p_type WHEN 'LARGE' THEN '.py' ELSE '.ts' END) AS path,
-      CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 'patch' WHEN p_size > 25 THEN 'breaking' ELSE 'major' END AS severity,
-      CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 0 ELSE 1 END AS n_changed
-      FROM part WHERE p_size > 25 OR p_size < 10""",
+    "source_drift": f"""WITH {CHANGED_PARTS} SELECT repo, path, CASE WHEN p_size > 25 THEN 'breaking' ELSE 'major' END AS severity, 1 AS n_changed
+      FROM changed_parts WHERE problem IS NULL""",
+    "unreadable_changes": f"""WITH {CHANGED_PARTS} SELECT repo, path, 'parse' AS stage, concat('Failed to parse ', path, ': ', problem) AS message
+      FROM changed_parts WHERE problem IS NOT NULL""",
     "line_references": f"WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT * FROM refs",
     "line_references_two_phase": f"WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT * FROM refs",
     "code_examples": f"WITH {SEARCH}, {MARKDOWN}, {EXAMPLES} SELECT * FROM examples",
@@ -371,9 +380,9 @@ ORACLE: dict[str, str] = {
       FROM (SELECT *, concat('docs/', source, '/', doc_id, '.md') AS path FROM documents) d LEFT JOIN approved a ON d.path = a.path""",
     "decision_log": f"""WITH {REVIEWS} SELECT repo, path, action, concat('review of ', lang) AS reasoning, feedback,
         coalesce(length(edited_content) > 0, FALSE) AS had_edited_content FROM resolved WHERE feedback IS DISTINCT FROM 'Skipped by user'""",
-    "run_metrics": f"""WITH {SNAPSHOTS}, {API_DIFF}, {REVIEWS}, m AS (SELECT (SELECT count(*) FROM changes) AS files_analyzed,
+    "run_metrics": f"""WITH {SNAPSHOTS}, {API_DIFF}, {REVIEWS}, {CHANGED_PARTS}, m AS (SELECT (SELECT count(*) FROM changes) AS files_analyzed,
         (SELECT sum(n_changed) FROM graded WHERE severity_rank >= 1)::BIGINT AS apis_changed, (SELECT count(*) FROM labelled) AS updates_generated,
-        (SELECT count(*) FROM approved) AS docs_updated, (SELECT count(*) FROM part WHERE p_type IN ('LARGE', 'PROMO')) AS errors)
+        (SELECT count(*) FROM approved) AS docs_updated, (SELECT count(*) FROM changed_parts WHERE problem IS NOT NULL) AS errors)
       SELECT *, concat('Generated ', updates_generated, ' documentation update(s). Applied ', docs_updated, ' update(s). Encountered ', errors,
         ' error(s). Analyzed ', files_analyzed, ' file(s). Found ', apis_changed, ' API change(s).') AS summary FROM m""",
 }
