@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftspark.functions.markdown import fenced_blocks
@@ -20,7 +20,6 @@ from driftspark.functions.text import (
     names_whole_word,
     tokens_of,
 )
-from driftspark.operators.joins import salted_lookup
 
 # The API columns a hit carries besides the name.
 API_COLUMNS = ("api_path", "api_ordinal", "kind_rank")
@@ -39,84 +38,44 @@ def search_names(changed: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFr
     )
 
 
-def _is_broadcastable(df: DataFrame) -> bool:
-    """Whether the optimizer's own size estimate allows a broadcast of ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def _verified(hits: DataFrame, text: str) -> DataFrame:
-    name = F.col("api_name")
-    return hits.filter(is_plain_name(name) | names_whole_word(F.col(text), name))
-
-
-def candidate_documents(
-    docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)
+def _with_texts(
+    docs: DataFrame, hits: DataFrame, where: Sequence[str], scope: Sequence[str]
 ) -> DataFrame:
-    """Documents that hold a search token, with those tokens.
+    """Hits (positions only) of each document, joined once to the document's lines.
 
-    Tokens are made distinct inside each document before they are shuffled, the
-    search list is one row per token, and tokens are salted by document, so a
-    word that a third of all documents use stays spread.
+    One row per hit with ``where``, the API columns and ``lines``. A document's hits are
+    bounded by its own lines times the APIs that a line names.
     """
-    tokens = docs.select(*scope, "path", F.explode(tokens_of(F.col("content"))).alias("token"))
-    wanted = names.select(*scope, "token").distinct()
-    found = salted_lookup(tokens, wanted, [*scope, "token"], ["path"])
-    return found.groupBy(*scope, "path").agg(F.collect_set("token").alias("wanted"))
+    keys = [*scope, "path"]
+    entry = F.struct(*where, "api_name", *API_COLUMNS)
+    found = hits.groupBy(*keys).agg(F.collect_list(entry).alias("hits"))
+    joined = docs.select(*keys, "content").join(found, keys)
+    return joined.select(*keys, lines_of(F.col("content")).alias("lines"), "hits").select(
+        *keys, "lines", F.inline("hits")
+    )
 
 
-def _units_with_tokens(
-    docs: DataFrame,
-    names: DataFrame,
-    scope: Sequence[str],
-    explode_units,
-    text: str,
-    strategy: str,
-) -> DataFrame:
-    """Search units (lines or blocks) joined to the APIs they name."""
-    keys = [*scope, "token"]
-    if strategy == "auto":
-        strategy = "map_side" if _is_broadcastable(names) else "two_phase"
-    if strategy == "map_side":
-        units = explode_units(docs.select(*scope, "path", "content"))
-        exploded = units.withColumn("token", F.explode(tokens_of(F.col(text))))
-        return _verified(exploded.join(names, keys), text)
-    if strategy != "two_phase":
-        raise ValueError("strategy must be auto, map_side or two_phase")
-    # Only tokens travel through the first join; texts are shuffled once, and
-    # only units that hold a wanted token are joined to the API rows.
-    candidates = candidate_documents(docs, names, scope)
-    kept = docs.select(*scope, "path", "content").join(candidates, [*scope, "path"])
-    units = explode_units(kept)
-    present = F.array_intersect(tokens_of(F.col(text)), F.col("wanted"))
-    exploded = units.withColumn("token", F.explode(present)).drop("wanted")
-    return _verified(salted_lookup(exploded, names, keys, ["path"]), text)
+def _verified(hits: DataFrame, text: Column) -> DataFrame:
+    name = F.col("api_name")
+    return hits.filter(is_plain_name(name) | names_whole_word(text, name))
 
 
 def find_references(
-    docs: DataFrame,
-    names: DataFrame,
-    scope: Sequence[str] = ("repo",),
-    strategy: str = "auto",
+    docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)
 ) -> DataFrame:
     """One row per document line and API row it names, with the line's context.
 
-    ``docs`` holds ``scope``, ``path`` and ``content``; ``names`` comes from
-    :func:`search_names`. The context is the line with its neighbours, read from
-    the document itself, so it needs no window. ``map_side`` tokenises lines and
-    looks names up without a shuffle; ``two_phase`` is for search lists too
-    large to broadcast. Both give the same rows.
+    ``docs`` holds ``scope``, ``path`` and ``content``, one row per path; ``names``
+    comes from :func:`search_names`. Only tokens and line numbers meet the search list;
+    Spark broadcasts the list where its size allows and splits a frequent token's
+    rows otherwise. The text is joined once per document that has a hit, and the
+    context (the line and its neighbours) is cut out of it.
     """
-
-    def lines(df: DataFrame) -> DataFrame:
-        kept = [c for c in df.columns if c != "content"]
-        split = df.withColumn("lines", lines_of(F.col("content"))).drop("content")
-        return split.select(*kept, "lines", F.posexplode_outer("lines").alias("pos", "line"))
-
-    hits = _units_with_tokens(docs, names, scope, lines, "line", strategy)
+    lines = docs.select(*scope, "path", F.posexplode(lines_of(F.col("content"))).alias("pos", "line"))
+    tokens = lines.select(*scope, "path", "pos", F.explode(tokens_of(F.col("line"))).alias("token"))
+    hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), ["pos"], scope)
     around = [F.get("lines", F.col("pos") + step) for step in (-1, 0, 1)]
-    return hits.select(
+    return _verified(hits, F.get("lines", F.col("pos"))).select(
         *scope,
         "path",
         (F.col("pos") + 1).alias("line_no"),
@@ -136,24 +95,17 @@ def code_blocks(docs: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
 
 
 def find_examples(
-    docs: DataFrame,
-    names: DataFrame,
-    scope: Sequence[str] = ("repo",),
-    strategy: str = "auto",
+    docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)
 ) -> DataFrame:
-    """One row per fenced block and API row it names."""
-    hits = _units_with_tokens(
-        docs, names, scope, lambda df: code_blocks(df, scope), "code", strategy
-    )
-    return hits.select(
-        *scope,
-        "path",
-        "language",
-        "start_line",
-        "end_line",
-        "code",
-        "api_name",
-        *API_COLUMNS,
+    """One row per fenced block and API row it names; the plan is that of the lines."""
+    place = ["language", "start_line", "end_line"]
+    blocks = code_blocks(docs.select(*scope, "path", "content"), scope)
+    tokens = blocks.select(*scope, "path", *place, F.explode(tokens_of(F.col("code"))).alias("token"))
+    hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), place, scope)
+    length = F.col("end_line") - F.col("start_line") + 1
+    code = F.array_join(F.slice("lines", F.col("start_line"), length), "\n")
+    return _verified(hits, code).select(
+        *scope, "path", *place, code.alias("code"), "api_name", *API_COLUMNS
     )
 
 

@@ -34,13 +34,9 @@ def _by(column: str, cases: dict[str, Column | str], otherwise: Column | str) ->
     return picked
 
 
-def corpus() -> Column:
-    """The one corpus of the search queries, read off each row's text.
-
-    A literal would be folded out of join conditions on the corpus and leave
-    joins without keys.
-    """
-    return F.concat(F.lit("corpus"), F.left("text", F.lit(0)))
+def corpus(id_: str) -> Column:
+    """One of the five corpora of the search queries."""
+    return F.concat(F.lit("corpus"), F.col(id_) % 5)
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -184,15 +180,14 @@ export default f_{k};
 
 
 def search_apis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """APIs named like the longer words of each benchmark item."""
+    """One API for each word of a corpus' benchmark items, in the first item that uses it."""
     words = table(spark, sf_dir, "benchmark").select(
-        corpus().alias("repo"),
+        corpus("item_id").alias("repo"),
         "item_id",
         F.posexplode(F.regexp_extract_all("text", F.lit(rf"[{WORD}]+"), F.lit(0))).alias("pos", "name"),
     )
-    first = words.filter(F.length("name") >= 5).groupBy("repo", "item_id", "name").agg(
-        F.min("pos").alias("pos")
-    )
+    first = words.groupBy("repo", "name").agg(F.min(F.struct("item_id", "pos")).alias("at"))
+    first = first.select("repo", "name", "at.*")
     none = F.lit(None).cast("string")
     return first.select(
         "repo",
@@ -222,7 +217,7 @@ def search_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def prose_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents"))
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
-    return docs.select(corpus().alias("repo"), path.alias("path"), F.col("text").alias("content"))
+    return docs.select(corpus("doc_id").alias("repo"), path.alias("path"), F.col("text").alias("content"))
 
 
 def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False) -> DataFrame:
@@ -252,7 +247,7 @@ def markdown_docs(spark: SparkSession, sf_dir: str, per_language: bool = False)
         ),
     )
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
-    repo = F.concat("source", F.lit("/"), "lang") if per_language else corpus()
+    repo = F.concat("source", F.lit("/"), "lang") if per_language else corpus("doc_id")
     return docs.select(
         repo.alias("repo"), path.alias("path"), content.alias("content"), "doc_id", "lang", "text"
     )

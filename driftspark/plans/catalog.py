@@ -336,10 +336,10 @@ def line_references(spark, sf_dir):
 
 @query
 def line_references_two_phase(spark, sf_dir):
-    """C6 with the plan for search lists that cannot be broadcast."""
+    """C6 as for a search list that cannot be broadcast."""
     _, names = _search(spark, sf_dir)
     docs = b.prose_docs(spark, sf_dir)
-    return references.find_references(docs, names, strategy="two_phase").drop("kind_rank")
+    return references.find_references(docs, names.hint("merge")).drop("kind_rank")
 
 
 @query
@@ -578,9 +578,9 @@ def new_doc_updates(spark, sf_dir):
 
 @query
 def change_sections(spark, sf_dir):
-    """H11"""
-    found = diff.diff_apis(*b.part_apis(spark, sf_dir))
-    return prompts.change_sections(prompts.change_entries(found))
+    """Change list of each file's document."""
+    entries = prompts.change_entries(diff.diff_apis(*b.part_apis(spark, sf_dir)))
+    return prompts.change_sections(entries, entries.withColumn("path", F.col("api_path")))
 
 
 def _prompt_inputs(spark, sf_dir):
@@ -591,7 +591,9 @@ def _prompt_inputs(spark, sf_dir):
     empty = listed.filter(F.lit(False))
     entries = prompts.change_entries(diff.diff_apis(empty, b.search_apis(spark, sf_dir)))
     missing = references.missing_docs(listed, found, examples)
-    return affected, context, prompts.change_sections(entries), missing
+    api = ["repo", "path", "kind_rank", "api_path", "api_ordinal"]
+    mentions = found.select(*api).unionByName(examples.select(*api))
+    return affected, context, prompts.change_sections(entries, mentions), missing
 
 
 @query
@@ -610,7 +612,7 @@ def update_prompts(spark, sf_dir):
     """One prompt per affected document."""
     affected, context, sections, _ = _prompt_inputs(spark, sf_dir)
     built = prompts.build_prompts(affected, context, sections)
-    return built.select("path", "system", "user", "has_changes_inline")
+    return built.select("path", "system", "user")
 
 
 @query

@@ -103,31 +103,31 @@ CHANGED_PARTS = """changed_parts AS (
 
 SEARCH = f"""words AS (SELECT item_id, unnest(ws) AS name, generate_subscripts(ws, 1) - 1 AS pos
   FROM (SELECT item_id, regexp_extract_all(text, {TOKENS}) AS ws FROM benchmark)),
-apis AS (SELECT 'corpus' AS repo, concat('src/bench/', item_id, '.ts') AS path, name, CAST(min(pos) AS INTEGER) AS ordinal,
-         length(name) <> 7 AS is_public FROM words WHERE length(name) >= 5 GROUP BY item_id, name)"""
-PROSE = "docs AS (SELECT 'corpus' AS repo, concat('docs/', source, '/', doc_id, '.md') AS path, text AS content FROM documents)"
-MARKDOWN = f"""docs AS (SELECT 'corpus' AS repo, concat('docs/', source, '/', doc_id, '.md') AS path, source, lang, text, doc_id,
+apis AS (SELECT concat('corpus', item_id % 5) AS repo, concat('src/bench/', item_id, '.ts') AS path, name, CAST(pos AS INTEGER) AS ordinal,
+         length(name) <> 7 AS is_public FROM words QUALIFY row_number() OVER (PARTITION BY item_id % 5, name ORDER BY item_id, pos) = 1)"""
+PROSE = "docs AS (SELECT concat('corpus', doc_id % 5) AS repo, concat('docs/', source, '/', doc_id, '.md') AS path, text AS content FROM documents)"
+MARKDOWN = f"""docs AS (SELECT concat('corpus', doc_id % 5) AS repo, concat('docs/', source, '/', doc_id, '.md') AS path, source, lang, text, doc_id,
   concat('# Doc ', doc_id, {NL}, {NL}, text, {NL}, {NL}, '```', lang, {NL}, text, {NL}, '```', {NL},
     CASE lang WHEN 'fr' THEN concat({NL}, '```', {NL}, '```', {NL}) WHEN 'es' THEN concat({NL}, '```js', {NL}, 'open (x)')
       WHEN 'de' THEN concat({NL}, 'You can pass {{Type}} here.', {NL}, '* item', {NL}) ELSE '' END) AS content,
   len(string_split(text, {NL})) AS n FROM documents)"""
-REFERENCES = f"""doc_lines AS (SELECT path, ls, generate_subscripts(ls, 1) AS line_no, unnest(ls) AS line
-  FROM (SELECT path, string_split(content, {NL}) AS ls FROM docs)),
-doc_tokens AS (SELECT path, ls, line_no, unnest(list_distinct(regexp_extract_all(line, {TOKENS}))) AS token FROM doc_lines),
-refs AS (SELECT 'corpus' AS repo, t.path, t.line_no,
+REFERENCES = f"""doc_lines AS (SELECT repo, path, ls, generate_subscripts(ls, 1) AS line_no, unnest(ls) AS line
+  FROM (SELECT repo, path, string_split(content, {NL}) AS ls FROM docs)),
+doc_tokens AS (SELECT repo, path, ls, line_no, unnest(list_distinct(regexp_extract_all(line, {TOKENS}))) AS token FROM doc_lines),
+refs AS (SELECT t.repo, t.path, t.line_no,
     concat_ws({NL}, CASE WHEN line_no > 1 THEN ls[line_no - 1] END, ls[line_no], ls[line_no + 1]) AS context,
     'name' AS reference_type, a.name AS api_name, a.path AS api_path, a.ordinal AS api_ordinal
-  FROM doc_tokens t JOIN apis a ON a.name = t.token)"""
+  FROM doc_tokens t JOIN apis a ON a.repo = t.repo AND a.name = t.token)"""
 BLOCKS = """blocks AS (
   SELECT path, repo, lang AS language, n + 5 AS start_line, 2 * n + 4 AS end_line, text AS code FROM docs
   UNION ALL SELECT path, repo, '', 2 * n + 8, 2 * n + 7, '' FROM docs WHERE lang = 'fr')"""
 EXAMPLES = f"""{BLOCKS},
 block_tokens AS (SELECT *, unnest(list_distinct(regexp_extract_all(code, {TOKENS}))) AS token FROM blocks),
-examples AS (SELECT b.path, b.language, b.start_line, b.end_line, b.code, a.name AS api_name, a.path AS api_path, a.ordinal AS api_ordinal
-  FROM block_tokens b JOIN apis a ON a.name = b.token)"""
+examples AS (SELECT b.repo, b.path, b.language, b.start_line, b.end_line, b.code, a.name AS api_name, a.path AS api_path, a.ordinal AS api_ordinal
+  FROM block_tokens b JOIN apis a ON a.repo = b.repo AND a.name = b.token)"""
 HITS = f"{SEARCH}, {MARKDOWN}, {REFERENCES}, {EXAMPLES}"
 MISSING = f"""{HITS}, missing AS (SELECT * FROM apis WHERE is_public
-  AND name NOT IN (SELECT api_name FROM refs) AND name NOT IN (SELECT api_name FROM examples))"""
+  AND (repo, name) NOT IN (SELECT (repo, api_name) FROM refs) AND (repo, name) NOT IN (SELECT (repo, api_name) FROM examples))"""
 
 PAIRS = f"""pairs AS (SELECT source AS repo, concat('docs/', doc_id, '.md') AS path, lang, text,
   string_split(text, {NL}) AS ls, len(string_split(text, {NL})) AS n FROM documents)"""
@@ -205,13 +205,15 @@ sections AS (SELECT coalesce(r.path, e.path) AS path,
   CASE WHEN r.c > 0 THEN concat('## References Found', {NL}, {NL}, 'This documentation file contains ', r.c, ' reference(s) to the changed APIs:', {NL}, {NL}, r.body) ELSE '' END AS reference_section,
   CASE WHEN e.c > 0 THEN concat('## Code Examples Found', {NL}, {NL}, 'This documentation contains ', e.c, ' code example(s):', {NL}, {NL}, e.body) ELSE '' END AS example_section
   FROM ref_rows r FULL OUTER JOIN ex_rows e ON r.path = e.path),
-facts AS (SELECT {TONE} AS tone, {FORMATTING} AS formatting, replace({CONVENTIONS}, '; ', ', ') AS conventions,
-  {CONVENTIONS} AS convention_list FROM docs),
-pattern_facts AS (SELECT {EXAMPLE_PATTERNS} AS example_patterns FROM blocks),
-system_text AS (SELECT concat_ws({NL}, {quote(prompts.INTRODUCTION)}, {quote(prompts.DUTIES)}, concat({NL}, 'Style Guidelines:'),
+facts AS (SELECT repo, {TONE} AS tone, {FORMATTING} AS formatting, replace({CONVENTIONS}, '; ', ', ') AS conventions,
+  {CONVENTIONS} AS convention_list FROM docs GROUP BY repo),
+pattern_facts AS (SELECT repo, {EXAMPLE_PATTERNS} AS example_patterns FROM blocks GROUP BY repo),
+system_text AS (SELECT repo, concat_ws({NL}, {quote(prompts.INTRODUCTION)}, {quote(prompts.DUTIES)}, concat({NL}, 'Style Guidelines:'),
   concat('- Tone: ', tone), concat('- Formatting: ', formatting), concat('- Conventions: ', conventions), concat({NL}, 'Project Context:'),
   '- Language: TypeScript', '- Documentation Format: markdown', '- Custom Guidelines: Be brief') AS system, convention_list FROM facts),
-change_text AS (SELECT concat('### Added APIs', {NL}, {NL}, string_agg(concat('- **', name, '** (function): function ', name, '()'), {NL} ORDER BY path, ordinal)) AS change_section FROM apis)"""
+named AS (SELECT path, api_path, api_ordinal, api_name FROM refs UNION SELECT path, api_path, api_ordinal, api_name FROM examples),
+change_text AS (SELECT path, concat('### Added APIs', {NL}, {NL}, string_agg(concat('- **', api_name, '** (function): function ', api_name, '()'), {NL} ORDER BY api_path, api_ordinal)) AS change_section
+  FROM named GROUP BY path)"""
 
 ORACLE: dict[str, str] = {
     "changed_files": f"WITH {SNAPSHOTS} SELECT * FROM changes",
@@ -287,19 +289,19 @@ ORACLE: dict[str, str] = {
       FROM changed_parts WHERE problem IS NOT NULL""",
     "line_references": f"WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT * FROM refs",
     "line_references_two_phase": f"WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT * FROM refs",
-    "code_examples": f"WITH {SEARCH}, {MARKDOWN}, {EXAMPLES} SELECT * FROM examples",
+    "code_examples": f"WITH {SEARCH}, {MARKDOWN}, {EXAMPLES} SELECT * EXCLUDE (repo) FROM examples",
     "missing_docs": f"WITH {MISSING} SELECT path, name, concat('function ', name, '()') AS signature FROM missing",
-    "document_hits": f"""WITH {HITS} SELECT 'corpus' AS repo, path, sum(r)::BIGINT AS n_references, sum(1 - r)::BIGINT AS n_examples
-      FROM (SELECT path, 1 AS r FROM refs UNION ALL SELECT path, 0 FROM examples) GROUP BY path""",
+    "document_hits": f"""WITH {HITS} SELECT repo, path, sum(r)::BIGINT AS n_references, sum(1 - r)::BIGINT AS n_examples
+      FROM (SELECT repo, path, 1 AS r FROM refs UNION ALL SELECT repo, path, 0 FROM examples) GROUP BY repo, path""",
     "affected_documents": f"""WITH {HITS}, r AS (SELECT path, string_agg(concat(line_no, ':', api_name), '|' ORDER BY api_path, api_ordinal, line_no) AS reference_list FROM refs GROUP BY path),
       e AS (SELECT path, string_agg(concat(language, ':', start_line, ':', end_line, ':', api_name), '|' ORDER BY api_path, api_ordinal, start_line) AS example_list FROM examples GROUP BY path)
       SELECT d.path, coalesce(reference_list, '') AS reference_list, coalesce(example_list, '') AS example_list, length(content) AS n_chars
       FROM docs d LEFT JOIN r USING (path) LEFT JOIN e USING (path) WHERE reference_list IS NOT NULL OR example_list IS NOT NULL""",
     "total_references": f"WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT count(*) AS total_references FROM refs",
     "drifted_documents": f"""WITH {SEARCH}, {PROSE}, {REFERENCES} SELECT path, line_no, count(*) AS n_references,
-      count(*) FILTER (WHERE length(api_name) > 9) AS n_added, count(*) FILTER (WHERE length(api_name) = 5) AS n_removed,
+      count(*) FILTER (WHERE length(api_name) > 9) AS n_added, count(*) FILTER (WHERE length(api_name) < 6) AS n_removed,
       count(*) FILTER (WHERE length(api_name) BETWEEN 6 AND 9) AS n_modified
-      FROM refs WHERE length(api_name) > 9 OR length(api_name) = 5 OR contains(api_name, 'th') GROUP BY path, line_no""",
+      FROM refs WHERE length(api_name) > 9 OR length(api_name) < 6 OR contains(api_name, 'th') GROUP BY path, line_no""",
     "code_blocks": f"WITH {MARKDOWN}, {BLOCKS} SELECT path, language, start_line, end_line, code FROM blocks",
     "raw_fences": f"""WITH {RISKY}, fences AS (SELECT path, unnest(fs) AS f, generate_subscripts(fs, 1) - 1 AS position
         FROM (SELECT path, regexp_extract_all(updated, {RAW_FENCE}) AS fs FROM risky))
@@ -357,21 +359,21 @@ ORACLE: dict[str, str] = {
     "change_sections": f"""WITH {API_DIFF}, entries AS (SELECT repo, path, list_ordinal, kind,
         CASE WHEN kind = 'modified' THEN concat('- **', name, '** (', api_kind, ')', {NL}, '  - Old: ', old_signature, {NL}, '  - New: ', new_signature, {NL}, '  - Changes: ', reasons)
           ELSE concat('- **', name, '** (', api_kind, '): ', new_signature) END AS text FROM api_diff WHERE kind <> 'unchanged'),
-      per_kind AS (SELECT repo, kind, string_agg(text, {NL} ORDER BY path, list_ordinal, text) AS body FROM entries GROUP BY repo, kind),
-      joined AS (SELECT repo, max(CASE WHEN kind = 'added' THEN body END) AS a, max(CASE WHEN kind = 'removed' THEN body END) AS r,
-        max(CASE WHEN kind = 'modified' THEN body END) AS m FROM per_kind GROUP BY repo)
-      SELECT repo, concat_ws({NL}, '### Added APIs' || {NL} || {NL} || a, {NL} || '### Removed APIs' || {NL} || {NL} || r,
-        {NL} || '### Modified APIs' || {NL} || {NL} || m) AS change_section, TRUE AS is_inline FROM joined""",
+      per_kind AS (SELECT repo, path, kind, string_agg(text, {NL} ORDER BY list_ordinal, text) AS body FROM entries GROUP BY repo, path, kind),
+      joined AS (SELECT repo, path, max(CASE WHEN kind = 'added' THEN body END) AS a, max(CASE WHEN kind = 'removed' THEN body END) AS r,
+        max(CASE WHEN kind = 'modified' THEN body END) AS m FROM per_kind GROUP BY repo, path)
+      SELECT repo, path, concat_ws({NL}, '### Added APIs' || {NL} || {NL} || a, {NL} || '### Removed APIs' || {NL} || {NL} || r,
+        {NL} || '### Modified APIs' || {NL} || {NL} || m) AS change_section FROM joined""",
     "reference_sections": f"WITH {PROMPT_TEXT} SELECT path, reference_section, example_section FROM sections",
     "update_prompts": f"""WITH {PROMPT_TEXT} SELECT d.path, system, concat_ws({NL} || {NL}, {quote(prompts.UPDATE_TASK)}, '## Code Changes', change_section,
         '## Current Documentation', concat('File: ', d.path), concat('```markdown', {NL}, content, {NL}, '```'), nullif(reference_section, ''),
-        nullif(example_section, ''), {quote(prompts.ANSWER_FORMAT)}) AS user, TRUE AS has_changes_inline
-      FROM docs d JOIN sections USING (path), system_text, change_text""",
+        nullif(example_section, ''), {quote(prompts.ANSWER_FORMAT)}) AS user
+      FROM docs d JOIN sections USING (path) JOIN change_text USING (path) JOIN system_text USING (repo)""",
     "new_doc_prompts": f"""WITH {PROMPT_TEXT} SELECT path AS api_path, name, system, concat_ws({NL} || {NL}, {quote(prompts.NEW_DOC_TASK)}, '## API Element',
         concat('Type: function', {NL}, 'Name: ', name, {NL}, 'Signature: function ', name, '()'), '## Style Guidelines',
         '- ' || replace(convention_list, '; ', {NL} || '- '), 'Example Patterns:' || {NL} || '- ' || replace(example_patterns, '; ', {NL} || '- '),
         '## Required Output', concat('Complete markdown', {quote(prompts.NEW_DOC_PARTS)})) AS user
-      FROM missing, system_text, pattern_facts""",
+      FROM missing JOIN system_text USING (repo) JOIN pattern_facts USING (repo)""",
     "resolved_decisions": f"WITH {REVIEWS} SELECT repo, path, seq, action, edited_content, feedback FROM resolved",
     "approved_updates": f"WITH {REVIEWS} SELECT * FROM approved",
     "auto_approved_updates": f"""WITH {REVIEWS} SELECT repo, count(*) AS n_updates, sum(length(text) + 11)::BIGINT AS n_chars FROM labelled GROUP BY repo""",

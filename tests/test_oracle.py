@@ -38,12 +38,20 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_search_lists_need_no_shuffle(spark):
+def test_small_search_lists_are_broadcast(spark):
     text = plan(QUERIES["line_references"](spark, SF))
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
-    text = text.replace("RoundRobinPartitioning", "")  # spreading of the small input
-    searched = text.split("BroadcastExchange")[0]
-    assert "hashpartitioning" not in searched
+
+
+def test_only_tokens_travel_to_the_search_list(spark):
+    text = plan(QUERIES["line_references_two_phase"](spark, SF)).split("\n")
+    carried = []
+    for i, line in enumerate(text):
+        if re.search(r"Exchange hashpartitioning\(repo#\d+, token#", line):
+            for below in text[i + 1 : i + 4]:
+                found = re.search(r"Generate explode\(.*\), \[([^\]]*)\], (?:true|false), \[token#", below)
+                carried += [re.sub(r"#.*", "", c.strip()) for c in found[1].split(",")] if found else []
+    assert sorted(carried) == ["path", "pos", "repo"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -6,28 +6,28 @@ from driftspark.operators import references as refs
 from driftspark.operators.joins import salted_lookup
 from driftspark.schemas import FILES
 
-API = (
-    "# API Documentation\n\n## getUserById\n\nThis function retrieves a user by their ID.\n\n"
-    "```typescript\nconst user = getUserById(123);\nconsole.log(user.name);\n```\n\n"
-    "The getUserById function is essential for user management.\n"
+ORBIT = (
+    "# Orbit tools\n\n## planOrbit\n\nA burn plan starts here.\n\n"
+    "```python\nplan = planOrbit(7)\nprint(plan.burn, planOrbit)\n```\n\n"
+    "Call planOrbit once per mission, then log the burn.\n\nplanOrbit never sleeps.\n"
 )
-GUIDE = (
-    "# User Guide\n\n## Working with Users\n\nYou can fetch users using the fetchUser helper.\n\n"
-    "```javascript\nimport { fetchUser } from './api';\n\nconst result = fetchUser('user-123');\n```\n"
+TANKS = (
+    "# Tank notes\n\nRefill with fillTank() before lift-off.\n\n"
+    "```rust\nuse tanks::fillTank;\n\nlet burn = fillTank(\"lox\");\n```\n"
 )
-README = "# Project README\n\nThis project includes getUserById and other utilities.\n"
+INDEX = "# Index\n\nSee planOrbit, and the glossary.\n"
 FENCES = "```js\na\n```ts\nb\n```\n```\n```\n ```\nx ``` y\n```go\r\nz\n```\r\n```\nlast\n```\nopen\n"
 WORDS = "entré a$http x$ $ naïve\nget_user get-user user2 USER user\n"
 NAMES = [
-    "getUserById", "getUser", "fetchUser", "newPublicFunction", "privateHelper",
-    "entr", "$http", "x$", "$", "naïve", "get", "user", "é",
+    "planOrbit", "plan", "fillTank", "abortLaunch", "privateValve",
+    "entr", "$http", "x$", "$", "naïve", "get", "burn", "é", "user",
 ]
+FILES_HERE = {"orbit.md": ORBIT, "tanks.md": TANKS, "index.md": INDEX, "w.md": WORDS}
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    files = {"api.md": API, "guide.md": GUIDE, "README.md": README, "w.md": WORDS}
-    return spark.createDataFrame([("r", p, c) for p, c in files.items()], FILES).cache()
+    return spark.createDataFrame([("r", p, c) for p, c in FILES_HERE.items()], FILES).cache()
 
 
 @pytest.fixture(scope="module")
@@ -38,20 +38,17 @@ def changed(spark):
     )
 
 
-@pytest.fixture(scope="module", params=["map_side", "two_phase"])
+@pytest.fixture(scope="module", params=["broadcast", "merge"])
 def hits(request, docs, changed):
-    names = refs.search_names(changed)
-    return (
-        refs.find_references(docs, names, strategy=request.param).cache(),
-        refs.find_examples(docs, names, strategy=request.param).cache(),
-    )
+    names = refs.search_names(changed).hint(request.param)
+    return refs.find_references(docs, names).cache(), refs.find_examples(docs, names).cache()
 
 
 def brute_force(name):
     head = r"(?<![A-Za-z0-9_])" if re.match(r"[A-Za-z0-9_]", name) else ""
     tail = r"(?![A-Za-z0-9_])" if re.search(r"[A-Za-z0-9_]\Z", name) else ""
     found = set()
-    for path, text in {"api.md": API, "guide.md": GUIDE, "README.md": README, "w.md": WORDS}.items():
+    for path, text in FILES_HERE.items():
         for i, line in enumerate(text.split("\n")):
             if re.search(head + re.escape(name) + tail, line):
                 found.add((path, i + 1))
@@ -66,38 +63,42 @@ def test_every_whole_word_is_found(hits):
 
 
 def test_known_counts_and_context(hits):
-    rows = [r for r in hits[0].collect() if r.api_name == "getUserById"]
+    rows = [r for r in hits[0].collect() if r.api_name == "planOrbit"]
     assert sorted((r.path, r.line_no) for r in rows) == [
-        ("README.md", 3), ("api.md", 3), ("api.md", 8), ("api.md", 12),
+        ("index.md", 3), ("orbit.md", 3), ("orbit.md", 8), ("orbit.md", 9), ("orbit.md", 12), ("orbit.md", 14),
     ]
     context = {(r.path, r.line_no): r.context for r in rows}
-    assert context["api.md", 3] == "\n## getUserById\n"
-    assert context["api.md", 8] == "```typescript\nconst user = getUserById(123);\nconsole.log(user.name);"
-    assert context["api.md", 12].endswith("management.\n")
+    assert context["orbit.md", 3] == "\n## planOrbit\n"
+    assert context["orbit.md", 8] == "```python\nplan = planOrbit(7)\nprint(plan.burn, planOrbit)"
+    assert context["orbit.md", 14] == "\nplanOrbit never sleeps.\n"
     assert {r.reference_type for r in rows} == {"name"}
 
 
 def test_examples(hits):
-    rows = {r.api_name: r for r in hits[1].collect()}
-    assert set(rows) == {"getUserById", "fetchUser", "user"}
-    assert rows["getUserById"].language == "typescript"
-    assert (rows["getUserById"].start_line, rows["getUserById"].end_line) == (8, 9)
-    assert (rows["fetchUser"].path, rows["fetchUser"].language) == ("guide.md", "javascript")
+    rows = {(r.path, r.api_name): r for r in hits[1].collect()}
+    assert set(rows) == {
+        ("orbit.md", "planOrbit"), ("orbit.md", "plan"), ("orbit.md", "burn"),
+        ("tanks.md", "fillTank"), ("tanks.md", "burn"),
+    }
+    found = rows["orbit.md", "planOrbit"]
+    assert (found.language, found.start_line, found.end_line) == ("python", 8, 9)
+    assert found.code == "plan = planOrbit(7)\nprint(plan.burn, planOrbit)"
+    assert rows["tanks.md", "fillTank"].language == "rust"
 
 
 def test_missing_docs_are_public_and_unnamed(hits, changed):
     missing = {r.name for r in refs.missing_docs(changed, *hits).collect()}
-    assert missing == {n for n in NAMES if not brute_force(n)} - {"privateHelper"}
+    assert missing == {n for n in NAMES if not brute_force(n)} - {"privateValve"}
 
 
 def test_affected_documents(hits, docs):
     rows = {r.path: r for r in refs.affected_docs(docs, *hits).collect()}
-    assert set(rows) == {"api.md", "guide.md", "README.md", "w.md"}
-    api = rows["api.md"]
-    assert [(r.line_no, r.api_name) for r in api.references][:3] == [
-        (3, "getUserById"), (8, "getUserById"), (12, "getUserById"),
+    assert set(rows) == set(FILES_HERE)
+    orbit = rows["orbit.md"]
+    assert [(r.line_no, r.api_name) for r in orbit.references][:3] == [
+        (3, "planOrbit"), (8, "planOrbit"), (9, "planOrbit"),
     ]
-    assert api.examples[0].code == "const user = getUserById(123);\nconsole.log(user.name);"
+    assert orbit.examples[0].code == "plan = planOrbit(7)\nprint(plan.burn, planOrbit)"
     long = {(r.path, r.line_no, r.context) for r in hits[0].collect()}
     assert {(p, r.line_no, r.context) for p, row in rows.items() for r in row.references} == long
     counts = {r.path: (r.n_references, r.n_examples) for r in refs.document_hits(*hits).collect()}
@@ -105,7 +106,7 @@ def test_affected_documents(hits, docs):
 
 
 def test_names_of_other_corpora_do_not_match(spark, docs, changed):
-    other = spark.createDataFrame([("other", "x.md", "getUserById")], FILES)
+    other = spark.createDataFrame([("other", "x.md", "planOrbit")], FILES)
     assert refs.find_references(other, refs.search_names(changed)).count() == 0
 
 
@@ -122,7 +123,7 @@ def fences_by_hand(text):
 
 
 def test_fence_rules(spark):
-    texts = [FENCES, API, "", "```", "```\n```", "a```\n```\nb\n```", "```x\n\n```\n\n```y\nq\n```", "````\nz\n```"]
+    texts = [FENCES, ORBIT, "", "```", "```\n```", "a```\n```\nb\n```", "```x\n\n```\n\n```y\nq\n```", "````\nz\n```"]
     docs = spark.createDataFrame([("r", str(i), t) for i, t in enumerate(texts)], FILES)
     rows = refs.code_blocks(docs).collect()
     for i, text in enumerate(texts):
