@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftspark.functions.patterns import SPACE
 from driftspark.functions.text import trim_all
+from driftspark.operators.lines import change_hunks
 from driftspark.operators.validate import content_errors
 
 KEYS = ("repo", "path")
@@ -69,6 +70,23 @@ def parse_update_answers(answers: DataFrame, response: str = "response") -> Data
     )
 
 
+def attach_changes(
+    updates: DataFrame, originals: DataFrame, keys: Sequence[str] = (*KEYS, "attempt")
+) -> DataFrame:
+    """Parsed updates with ``changes``: the changed sections against the original text, in order.
+
+    ``originals`` has ``keys`` and ``original_content``. The list is bounded by the
+    two texts of its update; it is empty where they are equal.
+    """
+    pairs = updates.select(*keys, "updated_content").join(originals, list(keys))
+    section = F.struct("seq", "type", "start_line", "end_line", "old_content", "new_content")
+    found = change_hunks(pairs, keys).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(section)).alias("changes")
+    )
+    listed = F.transform(F.coalesce("changes", F.expr("array()")), lambda c: c.dropFields("seq"))
+    return updates.join(found, list(keys), "left").withColumn("changes", listed)
+
+
 def new_doc_text(response: Column) -> Column:
     """Text of a new document: markdown fence, else any fence, else everything.
 

@@ -540,6 +540,21 @@ def parsed_answers(spark, sf_dir):
     return parsed.select("path", "attempt", "is_structured", "updated_content", "reasoning")
 
 
+@query
+def update_changes(spark, sf_dir):
+    """H9, L2: the changed sections of each parsed update."""
+    parsed = responses.parse_update_answers(b.answers(spark, sf_dir))
+    originals = b.table(spark, sf_dir, "conversations").filter("role = 'assistant'").select(
+        F.lit("chat").alias("repo"),
+        F.concat(F.lit("docs/"), "conv_id", F.lit(".md")).alias("path"),
+        F.col("turn").cast("int").alias("attempt"),
+        F.concat("text", F.lit("\nOld end.")).alias("original_content"),
+    )
+    found = responses.attach_changes(parsed, originals)
+    entry = lambda c: F.concat_ws(":", *[c[f] for f in ("type", "start_line", "end_line", "old_content", "new_content")])
+    return found.select("path", "attempt", F.array_join(F.transform("changes", entry), "|").alias("changes"))
+
+
 @query
 def parsed_new_docs(spark, sf_dir):
     """H10"""

@@ -345,6 +345,8 @@ ORACLE: dict[str, str] = {
           CASE WHEN len(nb) > 0 AND ob > len(nb) + 1 THEN concat('Number of code blocks decreased from ', ob, ' to ', len(nb)) END) AS warnings FROM m)
       SELECT path, errors = '' AS is_valid, errors, warnings FROM e""",
     "parsed_answers": f"WITH {PARSED} SELECT path, attempt, is_structured, updated_content, reasoning FROM parsed",
+    "update_changes": f"""WITH {TURNS}, n AS (SELECT *, len(string_split(text, {NL})) + 1 AS last FROM turns)
+      SELECT path, attempt, concat(CASE WHEN attempt <= 3 THEN 'addition:1:1::# Answer|' ELSE '' END, 'description:', last, ':', last, ':Old end.:') AS changes FROM n""",
     "parsed_new_docs": f"""WITH {TURNS} SELECT path, attempt, CASE attempt WHEN 1 THEN titled WHEN 2 THEN concat('js', {NL}, titled) ELSE text END AS updated_content FROM turns""",
     "first_valid_answers": f"""WITH {PARSED}, tried AS (SELECT * FROM parsed WHERE attempt <= 3),
       good AS (SELECT * FROM tried WHERE error IS NULL QUALIFY row_number() OVER (PARTITION BY path ORDER BY attempt) = 1)
