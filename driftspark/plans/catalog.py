@@ -70,7 +70,7 @@ def listed_files(spark, sf_dir):
 def glob_matches(spark, sf_dir):
     """B2: files per source that each glob matches."""
     path = F.col("path")
-    globs = {"ts": ["src/**/*.ts"], "py": ["**/*.py"], "flat": ["src/*"], "deep": ["SRC/**"]}
+    globs = {"ts": ["src/**/*.ts"], "py": ["**/*.py"], "flat": ["src/*1/*"], "deep": ["SRC/**/*.JSX"]}
     hits = [
         F.count_if(matches_any_glob(path, g)).alias(f"n_{name}") for name, g in globs.items()
     ]

@@ -223,7 +223,8 @@ ORACLE: dict[str, str] = {
     "listed_files": f"""WITH {SNAPSHOTS} SELECT repo, path, change_type, length(content) AS n_chars FROM file_pairs
       WHERE regexp_extract(path, '/([0-9]+)\\.', 1) IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)""",
     "glob_matches": f"""WITH {SNAPSHOTS} SELECT repo, count(*) FILTER (WHERE path LIKE '%.ts') AS n_ts,
-      count(*) FILTER (WHERE path LIKE '%.py') AS n_py, 0 AS n_flat, 0 AS n_deep,
+      count(*) FILTER (WHERE path LIKE '%.py') AS n_py, count(*) FILTER (WHERE repo LIKE '%1') AS n_flat,
+      count(*) FILTER (WHERE path LIKE '%.JSX') AS n_deep,
       count(*) FILTER (WHERE path LIKE '%.py' OR (path LIKE '%.ts' AND path NOT LIKE '%.test.ts')) AS n_included
       FROM new_files GROUP BY repo""",
     "file_languages": f"WITH {SNAPSHOTS} SELECT language, count(*) AS n_files FROM old_files GROUP BY language",
