@@ -1,14 +1,15 @@
 """Exact similarity join on sets of word shingles, by set relations.
 
-The method has two parts. *Answers from similar sets*: sets that are almost equal to a
-leader are attached to it with their distance, and are not searched for on their own. As
+The method has two parts. *Answers from similar sets*: sets that are linked to a leader
+are attached to it with their distance, and are not searched for on their own. As
 the Jaccard distance is a metric, a link between sets attached to leaders A and B needs
 d(A, B) <= t + r(A) + r(B), with t the largest linked distance and r the largest distance
 of an attached set. So leaders are searched for with that wider bound, and their members'
 answers follow from theirs; only where the bound leaves an answer open, and the two are not
 connected yet, are members compared. *Skipping in the index*: the leaders' rarest shingles
 are index lists, sorted by set size; an entry skips the blocks of its list whose sizes, or
-whose positions in their sets, rule out the bound.
+whose positions in their sets, rule out the bound. A pair that is left is ruled out next where the
+counts of both sets in the parts of the hash range differ too much.
 
 Leaders and index are only ways to find links: every link between different sets is found
 whatever the leaders are. Shingles are known by 40-bit hashes, so for two sets of n and m
@@ -30,12 +31,12 @@ from driftspark.llm.common import chunks, stored
 from driftspark.llm.components import components
 from driftspark.llm.words import UNBLANK, mix, rolling, words_of
 
-ATTACH = Fraction(1, 25)  # largest distance of an attached set to its leader
 TRIED = 8  # leaders a set is compared with; only the number of leaders depends on it
-HOT = 1 << 17  # shingles counted as frequent; only the order of shingles depends on it
+HOT = 1 << 19  # shingles counted as frequent; only the order of shingles depends on it
 BROADCAST_ROWS = 2_000_000  # of 8 bytes
 SETS = "row bigint, doc_id bigint, n bigint, near bigint, shingles binary"
 _FIVE = 5
+PARTS = 32  # of the range of hashes, for the counts that rule pairs out
 
 
 def _packed(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -85,10 +86,10 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch, "shingles"):
+            for chunk in chunks(batch, "shingles", 24 << 20):
                 flat = np.concatenate([_unpacked(r.as_buffer()) for r in chunk.column("shingles")] or [np.zeros(0, np.uint64)])
                 shingle, n = np.unique(flat, return_counts=True)
-                often = n >= 4
+                often = n >= 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shingle[often].astype(np.int64)), pa.array(n[often])], names=["shingle", "n"]
                 )
@@ -112,13 +113,13 @@ def _distance(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return common, len(merged) - common
 
 
-def _nearest(active: deque[_Leader], values: np.ndarray) -> tuple[_Leader | None, float]:
-    """The latest leader that the set can be attached to, and the distance."""
+def _nearest(active: deque[_Leader], values: np.ndarray, linked: Fraction) -> tuple[_Leader | None, float]:
+    """The latest leader that the set is linked to, and the distance."""
     for leader in reversed(active):
-        if len(leader.values) < (1 - ATTACH) * len(values):
+        if len(leader.values) < (1 - linked) * len(values):
             break  # sets come by size: earlier leaders are smaller still
         common, union = _distance(leader.values, values)
-        if union - common <= ATTACH * union:
+        if union - common <= linked * union:
             return leader, (union - common) / union
     return None, 0.0
 
@@ -146,10 +147,11 @@ def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
                 order += np.where(hot[at] == values, np.minimum(times[at], np.uint64(1 << 22)), np.uint64(0)) << np.uint64(40)
             order.sort()
             # the least overlap with a set within the bound leaves this many to look at
-            bound = float(1 - linked) - leader.radius - float(ATTACH) - 1e-9
+            bound = float(1 - 2 * linked) - leader.radius - 1e-9  # the other one's radius is ``linked`` at most
             length = len(values) - max(1, int(np.ceil(bound * len(values)))) + 1
             tokens = (order[:length] & np.uint64((1 << 40) - 1)).astype(np.int64)
-            out.append((leader.row, leader.row, 0.0, len(values), leader.radius, tokens))
+            spread = np.bincount((values >> np.uint64(35)).astype(np.int64), minlength=PARTS)
+            out.append((leader.row, leader.row, 0.0, len(values), leader.radius, tokens, np.minimum(spread, 65535).astype("<u2").tobytes()))
 
         last = None
         for batch in batches:
@@ -159,10 +161,10 @@ def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
                     while active:
                         finish(active.popleft())
                     last = near
-                leader, distance = _nearest(active, values)
+                leader, distance = _nearest(active, values, linked)
                 if leader:
                     leader.radius = max(leader.radius, distance)
-                    out.append((row, leader.row, distance, len(values), 0.0, None))
+                    out.append((row, leader.row, distance, len(values), 0.0, None, None))
                 else:
                     active.append(_Leader(row, values))
                     if len(active) > TRIED:
@@ -174,16 +176,16 @@ def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
             finish(active.popleft())
         yield _leader_rows(out)
 
-    schema = "row bigint, leader bigint, distance double, n bigint, radius double, tokens array<bigint>"
+    schema = "row bigint, leader bigint, distance double, n bigint, radius double, tokens array<bigint>, spread binary"
     return stored(ordered.select("row", "near", "shingles").mapInArrow(lead, schema), "leaders")
 
 
 def _leader_rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64())]
-    columns = list(zip(*rows, strict=True)) or [[]] * 6
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary()]
+    columns = list(zip(*rows, strict=True)) or [[]] * 7
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        names=["row", "leader", "distance", "n", "radius", "tokens"],
+        names=["row", "leader", "distance", "n", "radius", "tokens", "spread"],
     )
 
 
@@ -191,25 +193,39 @@ def _candidates(leaders: DataFrame, linked: Fraction) -> DataFrame:
     """Pairs (a, b), a < b, of leaders that share a list entry and may lie within the bound."""
     entries = leaders.where("row = leader").select("row", "n", "radius", F.posexplode("tokens").alias("place", "token"))
     lists = entries.repartition("token").sortWithinPartitions("token", "n", "row")
-    least = float(1 - linked)
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "row", "n", "radius", "place")]
             kept = now if kept is None else [np.concatenate(x) for x in zip(kept, now, strict=True)]
             whole = int(np.searchsorted(kept[0], kept[0][-1])) if len(kept[0]) else 0  # the last list may go on
-            yield from _listed_pairs(*[x[:whole] for x in kept], least)
+            yield from _listed_pairs(*[x[:whole] for x in kept], float(linked))
             kept = [x[whole:] for x in kept]
         if kept is not None:
-            yield from _listed_pairs(*kept, least)
+            yield from _listed_pairs(*kept, float(linked))
 
     columns = ("token", "row", "n", "radius", "place")
-    return lists.select(*columns).mapInArrow(search, "a bigint, b bigint").distinct()
+    pairs = lists.select(*columns).mapInArrow(search, "a bigint, b bigint").distinct()
+    known = leaders.where("row = leader")
+    side = lambda s: known.select(*[F.col(c).alias(f"{c}_{s}") for c in ("row", "n", "radius", "spread")])
+    joined = pairs.join(side("a"), F.col("a") == F.col("row_a")).join(side("b"), F.col("b") == F.col("row_b"))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets differ at least by what their counts in the parts of the hash range differ."""
+        for batch in batches:
+            n_a, n_b, r_a, r_b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b", "radius_a", "radius_b"))
+            counts = [np.array([np.frombuffer(x.as_buffer(), "<u2") for x in batch.column(c)], np.int64).reshape(-1, PARTS) for c in ("spread_a", "spread_b")]
+            differ = np.abs(counts[0] - counts[1]).sum(1)
+            far = float(linked) + r_a + r_b + 1e-9
+            fits = pa.array(differ <= far * (n_a + n_b) / (2 - far))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(fits) for c in ("a", "b")], names=["a", "b"])
+
+    wanted = ["a", "b", *[f"{c}_{s}" for s in ("a", "b") for c in ("n", "radius", "spread")]]
+    return joined.select(*wanted).mapInArrow(sift, "a bigint, b bigint")
 
 
-def _listed_pairs(token, row, n, radius, place, least: float) -> Iterator[pa.RecordBatch]:
-    loosest = least - 2 * float(ATTACH) - 1e-9
+def _listed_pairs(token, row, n, radius, place, linked: float) -> Iterator[pa.RecordBatch]:
+    loosest = 1 - 3 * linked - 1e-9
     first, held, count = np.arange(len(token)), [], 0
     step = 0
     while len(first):
@@ -219,7 +235,7 @@ def _listed_pairs(token, row, n, radius, place, least: float) -> Iterator[pa.Rec
         # lists are sorted by size: past one block that is too large, all are
         open_ = (token[first] == token[other]) & (n[first] >= loosest * n[other])
         first, other = first[open_], other[open_]
-        bound = least - radius[first] - radius[other] - 1e-9
+        bound = 1 - linked - radius[first] - radius[other] - 1e-9
         overlap = np.minimum(n[first] - place[first], n[other] - place[other])
         fits = (n[first] >= bound * n[other]) & (overlap >= bound / (1 + bound) * (n[first] + n[other]))
         a, b = row[first[fits]], row[other[fits]]
