@@ -32,7 +32,7 @@ from driftspark.llm.components import components
 from driftspark.llm.words import UNBLANK, mix, rolling, words_of
 
 TRIED = 8  # leaders a set is compared with; only the number of leaders depends on it
-HOT = 1 << 19  # shingles counted as frequent; only the order of shingles depends on it
+HOT = 1 << 20  # shingles counted as frequent; only the order of shingles depends on it
 BROADCAST_ROWS = 2_000_000  # of 8 bytes
 SETS = "row bigint, doc_id bigint, n bigint, near bigint, shingles binary"
 _FIVE = 5
@@ -89,7 +89,7 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for chunk in chunks(batch, "shingles", 24 << 20):
                 flat = np.concatenate([_unpacked(r.as_buffer()) for r in chunk.column("shingles")] or [np.zeros(0, np.uint64)])
                 shingle, n = np.unique(flat, return_counts=True)
-                often = n >= 3
+                often = n >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shingle[often].astype(np.int64)), pa.array(n[often])], names=["shingle", "n"]
                 )
@@ -282,6 +282,35 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint, common bigint, joint bigint"), "compared")
 
 
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs of leaders that are not in one component yet."""
+    root = lambda s: groups.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}"))
+    joined = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return joined.where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b", "gap")
+
+
+def _member_links(
+    open_: DataFrame, leaders: DataFrame, sets: DataFrame, linked: Fraction, is_link: str, both: bool
+) -> DataFrame:
+    """Links between members of open pairs, as links (a, b) of their leaders. With ``both`` two
+    members are compared, else a member and the other leader."""
+    member = leaders.where("row != leader").select("leader", "row", "distance")
+    side = lambda s: member.select(F.col("leader").alias(s), F.col("row").alias(f"m{s}"), F.col("distance").alias(f"d{s}"))
+    near = float(linked) + 1e-9
+    if both:
+        pairs = open_.join(side("a"), "a").join(side("b"), "b").where(f"gap - da - db <= {near}").select("a", "b", "ma", "mb")
+    else:
+        one = open_.join(side("a"), "a").where(f"gap - da <= {near}").select("a", "b", "ma", F.col("b").alias("mb"))
+        pairs = one.unionByName(
+            open_.join(side("b"), "b").where(f"gap - db <= {near}").select("a", "b", F.col("a").alias("ma"), "mb")
+        )
+    pairs = stored(pairs, "members")
+    wanted = pairs.select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct()
+    found = _compared(wanted, sets).where(is_link).select(F.col("a").alias("low"), F.col("b").alias("high"))
+    same = (F.least("ma", "mb") == F.col("low")) & (F.greatest("ma", "mb") == F.col("high"))
+    return pairs.join(found, same).select("a", "b").distinct()
+
+
 def near_components(
     docs: DataFrame, k: int = 5, similarity: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -307,20 +336,17 @@ def near_components(
         .join(radii.select(F.col("r_row").alias("b"), F.col("radius").alias("rb")), "b", "left")
         .withColumn("gap", 1 - F.col("common") / F.col("joint"))
         .where(f"gap <= {float(linked)} + coalesce(ra, 0) + coalesce(rb, 0) + 1e-9")
-        .join(groups.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
-        .join(groups.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
-        .where("coalesce(root_a, a) != coalesce(root_b, b)")
+        .select("a", "b", "gap")
     )
-    open_ = stored(open_.select("a", "b", "gap"), "open")
-    if not open_.isEmpty():
-        member = leaders.select("leader", "row", "distance")
-        side = lambda s: member.select(F.col("leader").alias(s), F.col("row").alias(f"m{s}"), F.col("distance").alias(f"d{s}"))
-        members = open_.join(side("a"), "a").join(side("b"), "b").where(f"gap - da - db <= {float(linked)} + 1e-9 AND da + db > 0")
-        pairs = members.select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct()
-        lead = leaders.select(F.col("row").alias("node"), "leader")
-        more = _compared(pairs, sets).where(is_link).join(lead.withColumnsRenamed({"node": "a", "leader": "la"}), "a")
-        more = more.join(lead.withColumnsRenamed({"node": "b", "leader": "lb"}), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        groups = components(links.unionByName(more))
+    # First the members of each side against the other side's leader, then, where that
+    # has not connected the two, the members of both sides that the bound leaves open.
+    for both in (False, True):
+        open_ = stored(_apart(open_, groups), "open")
+        if open_.isEmpty():
+            break
+        more = _member_links(open_, leaders, sets, linked, is_link, both)
+        links = stored(links.unionByName(more), "links")
+        groups = components(links)
     rows = sets.select("row", "doc_id", "n").join(leaders.select("row", "leader"), "row", "left")
     rows = rows.join(groups.withColumnRenamed("node", "leader"), "leader", "left")
     rows = stored(rows.select("doc_id", "n", F.coalesce("root", "leader", "row").alias("group")), "groups")
