@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,11 @@ from pyspark.sql import types as T
 CHUNK_BYTES = 8 << 20
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="driftspark-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables below ``spark.checkpoint.dir``.
 
@@ -23,8 +29,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        root = tempfile.mkdtemp(prefix="driftspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -23,7 +23,7 @@ BLOCK_CHARS = 4096
 
 
 def _crowded(blocks: DataFrame, *value: str) -> DataFrame:
-    """The different values that share a hash with others, with their places from 1 on."""
+    """The different values that share a hash with others, with their places from 0 on."""
     several = (
         blocks.groupBy("hash")
         .agg(F.array_sort(F.collect_set(F.struct(*value))).alias("values"))
@@ -106,7 +106,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     name = ["level", "hash", "place"]
     rows = named_documents(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), ["doc_id"])
     order = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"))
+    rows = stored(rows, "identities")
+    # stored, so that a hot group of the join below can be split
     best = rows.groupBy(*name).agg(F.min_by(F.col("doc_id"), order).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    best = stored(best, "best")
     return rows.join(best, name).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "n_points"
     )
