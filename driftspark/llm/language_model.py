@@ -30,9 +30,9 @@ from driftspark.llm.words import UNBLANK, words_of
 CLASSES = 1024
 WIDTH = 24
 FREQUENT = 1 << 18  # words whose counts the tasks hold
-ROUNDS = 2
+ROUNDS = 1
 BATCH = 8192
-NOISE = 64
+NOISE = 32
 RATE = 0.1
 OTHER, END = 0, 1  # class numbers; words follow
 END_HASH = 0x454E44  # stands for the end of a text among the word hashes
@@ -144,6 +144,14 @@ class Model:
         return out - norms[inverse]
 
 
+def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the table's row that it belongs to; rows of one place are summed first."""
+    order = np.argsort(at.astype(np.uint32), kind="stable")
+    places = at[order]
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    table[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 class _Trainer:
     """Noise-contrastive estimation with Adagrad steps."""
 
@@ -167,12 +175,12 @@ class _Trainer:
         pull = 1 / (1 + np.exp(-np.clip(fake, -30, 30)))  # P(data) of noise
         back = push[:, None] * vectors - pull @ m.target[drawn]
         target, bias, context = np.zeros_like(m.target), np.zeros_like(m.bias), np.zeros_like(m.context)
-        np.add.at(target, word, push[:, None] * predicted)
+        _add_rows(target, word, push[:, None] * predicted)
         np.subtract.at(target, drawn, pull.T @ predicted)
         bias += np.bincount(word, push, minlength=len(bias)).astype(np.float32)
         np.subtract.at(bias, drawn, pull.sum(0))
-        np.add.at(context, near, back @ m.places[0].T)
-        np.add.at(context, far, back @ m.places[1].T)
+        _add_rows(context, near, back @ m.places[0].T)
+        _add_rows(context, far, back @ m.places[1].T)
         places = np.stack((r_near.T @ back, r_far.T @ back))
         for part, grown, seen in zip(m.parts(), (context, target, places, bias), self.seen, strict=True):
             grown /= np.float32(n)
