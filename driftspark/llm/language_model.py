@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftspark.llm.common import chunks, stored
+from driftspark.llm.common import chunks, most_frequent, stored
 from driftspark.llm.words import UNBLANK, words_of
 
 CLASSES = 1024
@@ -79,7 +79,7 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT) -> Vocabulary:
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, types = int(total[0] or 0), int(total[1] or 0)
-    top = counts.where(F.col("hash") != END_HASH).orderBy(F.col("n").desc(), "hash").limit(frequent).toPandas()
+    top = most_frequent(counts.where(F.col("hash") != END_HASH), frequent).toPandas().sort_values(["n", "hash"], ascending=[False, True])
     end = counts.where(F.col("hash") == END_HASH).first()
     hashes, n = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     words, of_words = hashes[: max(0, classes - 2)], n[: max(0, classes - 2)]
