@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftspark.llm.common import chunks, stored
+from driftspark.llm.common import chunks, most_frequent, stored
 from driftspark.llm.components import components
 from driftspark.llm.words import UNBLANK, mix, rolling, words_of
 
@@ -95,8 +95,8 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 )
 
     found = sets.where("n > 0").select("shingles").mapInArrow(count, "shingle bigint, n bigint")
-    top = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "shingle").limit(HOT).toPandas()
-    top = top.sort_values("shingle")
+    counts = stored(found.groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 4"), "shingles")
+    top = most_frequent(counts, HOT).toPandas().sort_values("shingle")
     return top["shingle"].to_numpy(np.uint64), top["n"].to_numpy(np.uint64)
 
 
