@@ -52,7 +52,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, spaces: bool, doc_id
         encoder = Encoder(tokenizer, end_id, spaces)
         for batch in batches:
             for chunk in chunks(batch, "text", 4 << 20):
-                ids, offsets = encoder.encode(chunk.column("text").to_pylist())
+                ids, offsets = encoder.encode(chunk.column("text"))
                 near = np.minimum.reduceat(mix(ids.astype(np.uint64) + np.uint64(1)) >> np.uint64(1), offsets[:-1])
                 raw = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(chunk), [None, pa.py_buffer(4 * offsets), pa.py_buffer(ids.astype("<u4", copy=False))]

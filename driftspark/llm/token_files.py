@@ -51,7 +51,7 @@ def write_tokens(
         encoder = Encoder(tokenizer, end_id, spaces)
         for batch in batches:
             for chunk in chunks(batch, "text", 4 << 20):
-                ids, offsets = encoder.encode(chunk.column("text").to_pylist())
+                ids, offsets = encoder.encode(chunk.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [chunk.column("place"), chunk.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), lists],

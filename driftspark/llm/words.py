@@ -59,11 +59,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(column: pa.Array, rule: np.ndarray) -> Words:
+def words_of(column: pa.Array, rule: np.ndarray, lower: bool = True, hashed: bool = True) -> Words:
     data, offsets = text_bytes(column)
     n = len(data)
     lowered = np.zeros(n + 8, np.uint8)
-    np.take(_LOWER, data, out=lowered[:n])
+    if lower:
+        np.take(_LOWER, data, out=lowered[:n])
+    else:
+        lowered[:n] = data
     inside = rule[data]
     edges = offsets[1:-1]
     before = np.zeros(n, bool)
@@ -74,7 +77,8 @@ def words_of(column: pa.Array, rule: np.ndarray) -> Words:
     after[:-1] = inside[1:]
     after[edges[edges > 0] - 1] = False
     lengths = np.flatnonzero(inside & ~after) + 1 - starts
-    return Words(lowered, starts, lengths, np.searchsorted(starts, offsets), hash_spans(lowered, starts, lengths))
+    hashes = hash_spans(lowered, starts, lengths) if hashed else np.zeros(0, np.uint64)
+    return Words(lowered, starts, lengths, np.searchsorted(starts, offsets), hashes)
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
