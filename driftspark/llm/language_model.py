@@ -30,9 +30,9 @@ from driftspark.llm.words import UNBLANK, words_of
 CLASSES = 1024
 WIDTH = 24
 FREQUENT = 1 << 18  # words whose counts the tasks hold
-ROUNDS = 1
+ROUNDS = 2
 BATCH = 8192
-NOISE = 32
+NOISE = 64
 RATE = 0.1
 OTHER, END = 0, 1  # class numbers; words follow
 END_HASH = 0x454E44  # stands for the end of a text among the word hashes

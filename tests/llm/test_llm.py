@@ -485,6 +485,18 @@ def test_log_bilinear_model_learns_contexts_and_is_normalised():
     assert np.allclose(np.exp(every).reshape(50, n).sum(1), 1, atol=1e-4)
     assert trainer.m.log_probabilities(near, far, word).mean() > -1.3 > np.log(1 / n)
 
+def test_every_round_of_training_builds_on_all_tasks(spark):
+    frame = spark.createDataFrame([(f"{'a b' if i % 2 else 'b a'} c {i % 5}" ,) for i in range(200)], "text string").repartition(4)
+    known = language_model.vocabulary(language_model.word_counts(frame, "text"), 16, 100)
+    usual, two, one = (language_model.train(frame, "text", known, **r).flat() for r in ({}, {"rounds": 2}, {"rounds": 1}))
+    assert np.allclose(usual, two) and not np.allclose(usual, one)
+    drawn = []
+    trainer = language_model._Trainer(language_model.Model.start(known.noise, 8), known.noise, 1)
+    trainer.random = type("Drawn", (), {"random": lambda self, n: drawn.append(n) or np.zeros(n)})()
+    trainer.step(*np.full((3, 10), 1))
+    assert drawn == [64]
+
+
 
 # the pipeline
 
