@@ -2,21 +2,27 @@
 
 Fixed shapes give the base kinds: assign, access, hex. Besides, every long run of
 base64-like characters is a candidate. Its encoding is inferred from its characters
-(hexadecimal, base 32, alphanumeric, base 64), and three tests ask whether it is a random
-string of that alphabet: chi-squared uniformity, the number of runs above and below the
-middle of the alphabet, and the lag-1 serial correlation. The battery's statistic is the
-largest of the three z values: small for random strings, large for words.
-
-Whether a candidate is a find is decided for its length class: candidates of letters in
-one case are the null sample of ordinary words. A candidate's p value is the share of null
-words in its class with a statistic at most as large; the Benjamini-Hochberg rule per class
-holds the share of false finds at ``FALSE_SHARE``. A class with few null words can
-show no small p values and yields no finds.
+(hexadecimal, base 32, base 36, alphanumeric, base 64 of either alphabet), and three tests
+ask whether it is a random string of that alphabet: chi-squared uniformity, the number of
+runs above and below the middle of the alphabet, and the lag-1 serial correlation. Each
+has its own distribution for random strings (chi-squared, normal, normal), and a candidate
+that one of them rejects at ``REJECT_Z`` is not a find.
+
+How sure a find is depends on the length: a short word can pass as random. The p value
+of a candidate is the chance that text of its length and encoding has as few equal pairs of
+characters (the chi-squared statistic counts them). Text is modelled by fixed letter and
+digit frequencies, which give mean and variance of the pairs; a scaled chi-squared
+distribution with these stands for theirs. The Benjamini-Hochberg rule per length class holds
+the share of false finds at ``FALSE_SHARE``. No p value depends on other candidates, so a
+class needs no words in the corpus. Runs of letters in one case are words, except capitals in
+base 32: a random alphanumeric string of 20 characters is one with a chance of 1e-7.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
@@ -33,13 +39,32 @@ LEAST_VALUE = 6
 ENCODINGS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
     "alphanumeric": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
+# Letter frequencies of English in percent, and the shares of small letters, capitals and digits in
+# text of an encoding.
+LETTERS = (
+    12.70, 9.06, 8.17, 7.51, 6.97, 6.75, 6.33, 6.09, 5.99, 4.25, 4.03, 2.78, 2.76, 2.41, 2.36, 2.23, 2.02, 1.97, 1.93, 1.49,
+    0.98, 0.77, 0.15, 0.15, 0.10, 0.07,
+)
+_MIXED_TEXT = (13 / 16, 1 / 8, 1 / 16)
+TEXT_SHARES = {"hex": (0, 0, 1), "base32": (0, 1, 0), "base36": (7 / 8, 0, 1 / 8)}
+REJECT_Z = 2.935  # two-sided, 1 % of random strings over the three tests
 FALSE_SHARE = 0.05
 BINS_PER_UNIT, LAST_BIN = 20, 2000
 
 
+def _text_power(encoding: str, power: int) -> float:
+    """Sum of the powers of the symbol frequencies of text in an encoding."""
+    small, capital, digit = TEXT_SHARES.get(encoding, _MIXED_TEXT)
+    letters = sum((x / sum(LETTERS)) ** power for x in LETTERS)
+    return (small**power + capital**power) * letters + digit**power * 10 * 0.1**power
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -77,17 +102,20 @@ def _valid() -> str:
 
 def battery(values: DataFrame) -> DataFrame:
     """Adds to rows with a column ``value`` (a candidate): ``encoding``, ``n`` (characters
-    without padding), ``chi_z``, ``runs_z``, ``serial_z`` and ``statistic``.
+without padding), ``chi_z``, ``runs_z``, ``serial_z``, ``statistic`` and ``text_z`` (far below
+    0 where text of that length has more equal pairs).
 
     A test without variation to judge (one symbol only, all on one side) counts as not random.
     """
     rows = values.withColumn("plain", F.regexp_replace("value", "=+$", ""))
     hexadecimal = F.col("plain").rlike("^([0-9a-f]+|[0-9A-F]+)$")
+    base36 = F.col("plain").rlike("^([0-9a-z]+|[0-9A-Z]+)$")
     rows = rows.withColumn(
         "encoding",
-        F.when(hexadecimal, "hex").when(F.col("plain").rlike("^[A-Z2-7]+$"), "base32")
-        .when(F.col("plain").rlike("^[A-Za-z0-9]+$"), "alphanumeric").otherwise("base64"),
-    ).withColumn("plain", F.when(hexadecimal, F.lower("plain")).otherwise(F.col("plain")))
+        F.when(hexadecimal, "hex").when(F.col("plain").rlike("^[A-Z2-7]+$"), "base32").when(base36, "base36")
+        .when(F.col("plain").rlike("^[A-Za-z0-9]+$"), "alphanumeric").when(F.col("plain").rlike("^[A-Za-z0-9+/]+$"), "base64")
+        .when(F.col("plain").rlike("^[A-Za-z0-9_-]+$"), "base64url").otherwise("mixed"),
+    ).withColumn("plain", F.when(F.col("encoding").isin("hex", "base36"), F.lower("plain")).otherwise(F.col("plain")))
     alphabet = F.lit(None).cast("string")
     for name, symbols in ENCODINGS.items():
         alphabet = F.when(F.col("encoding") == name, symbols).otherwise(alphabet)
@@ -95,6 +123,17 @@ def battery(values: DataFrame) -> DataFrame:
     # sum of squared symbol counts, one pass over the text per symbol
     squares = "aggregate(split(alphabet, ''), 0D, (s, a) -> s + pow(CASE WHEN a = '' THEN 0 ELSE n - char_length(replace(plain, a, '')) END, 2))"
     rows = rows.withColumn("chi", F.expr(f"m / n * {squares} - n"))
+    share, cubes = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for name in ENCODINGS:
+        share = F.when(F.col("encoding") == name, _text_power(name, 2)).otherwise(share)
+        cubes = F.when(F.col("encoding") == name, _text_power(name, 3)).otherwise(cubes)
+    pairs = F.col("n") * (F.col("n") - 1) / 2
+    expected = pairs * share
+    varies = expected * (1 - share) + 2 * pairs * (F.col("n") - 2) * (cubes - share * share)
+    narrow = varies / (9 * expected * expected)
+    equal = F.greatest((F.col("chi") + F.col("n")) * F.col("n") / F.col("m") - F.col("n"), F.lit(0.0)) / 2
+    text_z = (F.pow(equal / expected, 1 / 3) - (1 - narrow)) / F.sqrt(narrow)
+    rows = rows.withColumn("text_z", text_z)
     df = F.col("m") - 1
     spread = 2 / (9 * df)
     chi_z = (F.pow(F.greatest("chi", F.lit(0.0)) / df, 1 / 3) - (1 - spread)) / F.sqrt(spread)  # Wilson-Hilferty
@@ -120,28 +159,39 @@ def battery(values: DataFrame) -> DataFrame:
 
 
 def _judged(candidates: DataFrame) -> DataFrame:
-    """Candidates with ``length_class`` and ``bin``; a class doubles the length."""
-    scaled = F.floor(F.col("statistic") * BINS_PER_UNIT)
+    """Candidates with ``length_class``, ``bin`` of their ``text_z`` and ``is_random``: no test rejects
+    them; two classes double the length."""
+    scaled = F.ceil(F.col("text_z") * BINS_PER_UNIT)  # up: the p value of a bin is that of its upper end
+    word = F.col("value").rlike("^[A-Z]?[a-z]+$")
     return battery(candidates).select(
         *candidates.columns,
         F.floor(F.log2("n") * 2).cast("int").alias("length_class"),
         F.least(F.greatest(scaled, F.lit(-LAST_BIN)), F.lit(LAST_BIN)).cast("int").alias("bin"),
-        F.col("value").rlike("^([A-Z]?[a-z]+|[A-Z]+)$").cast("int").alias("is_null"),
+        (~word & (F.col("statistic") <= REJECT_Z) & (F.col("chi_z") >= -REJECT_Z)).alias("is_random"),
     )
 
 
+def _lower_tail(z: Column) -> Column:
+    """Chance of a normal value below z, by a continued fraction; 1 from -1 up, where no rule looks."""
+    x, part = F.greatest(-z, F.lit(1.0)), F.greatest(-z, F.lit(1.0))
+    for k in range(24, 0, -1):
+        part = x + k / part
+    return F.when(z < -1, F.exp(-x * x / 2) / (part * math.sqrt(2 * math.pi))).otherwise(1.0)
+
+
 def thresholds(judged: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """(length_class, last_bin) by Benjamini-Hochberg over a histogram whose size does not
-    grow with the rows; classes without finds are absent."""
+    grow with the rows; classes without finds are absent. A candidate that a test rejects counts
+    as tested, with p = 1."""
     counts = judged.groupBy("length_class", "bin").agg(
-        F.sum(1 - F.col("is_null")).alias("tested"), F.sum("is_null").alias("nulls")
+        F.count(F.lit(1)).alias("tested"), F.sum(F.col("is_random").cast("int")).alias("random")
     )
     upto = Window.partitionBy("length_class").orderBy("bin")
     whole = Window.partitionBy("length_class")
-    p = (1 + F.sum("nulls").over(upto)) / (1 + F.sum("nulls").over(whole))
-    allowed = false_share * F.sum("tested").over(upto) / F.sum("tested").over(whole)
+    p = _lower_tail(F.col("bin") / BINS_PER_UNIT)
+    allowed = false_share * F.sum("random").over(upto) / F.sum("tested").over(whole)
     ranked = counts.withColumn("p", p).withColumn("allowed", allowed)
-    return ranked.where("tested > 0 AND p <= allowed").groupBy("length_class").agg(F.max("bin").alias("last_bin"))
+    return ranked.where("random > 0 AND p <= allowed").groupBy("length_class").agg(F.max("bin").alias("last_bin"))
 
 
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,7 +201,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     rows = _matches(docs, doc_id, text).where(F.expr(_valid()))
     judged = _judged(rows.where("kind = 'random'"))
-    finds = judged.join(thresholds(judged), "length_class").where("bin <= last_bin AND is_null = 0").select(*rows.columns)
+    finds = judged.join(thresholds(judged), "length_class").where("bin <= last_bin AND is_random").select(*rows.columns)
     every = rows.where("kind != 'random'").unionByName(finds)
     rank = F.expr("array_position(array('assign', 'access', 'hex', 'random'), kind)")
     span = F.when(F.col("kind") != "text", F.struct("start", rank.alias("rank"), "end", "kind"))

@@ -424,6 +424,17 @@ def test_battery_tells_random_strings_from_words(spark):
     assert sum(i < 40 for i in flagged) >= 36 and sum(i >= 40 for i in flagged) <= 2
 
 
+def test_random_strings_are_found_without_long_words(spark):
+    rng = np.random.default_rng(5)
+    full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(list(symbols), n)) for symbols, n in [(full, 32), (full, 40), (full + "+/", 64), (full + "-_", 400), (full[26:], 90)] * 4]
+    texts = ["readTheConfigurationFromTheEnvironment1", "src/main/java/com/example/service/impl", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "0123456789abcdefghijklmnopqrstuvwxyzABCDEF"]
+    docs = [(i, f"set {v} now") for i, v in enumerate(keys + texts)]
+    spans = secrets.secret_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    flagged = {r.doc_id for r in spans if any(s.kind == "random" for s in r.spans)}
+    assert sum(i < len(keys) for i in flagged) >= len(keys) - 2 and not any(i >= len(keys) for i in flagged)
+
+
 # 9 licenses
 
 
