@@ -12,8 +12,8 @@ whose positions in their sets, rule out the bound. A pair that is left is ruled
 counts of both sets in the parts of the hash range differ too much.
 
 Leaders and index are only ways to find links: every link between different sets is found
-whatever the leaders are. Shingles are known by 40-bit hashes, so for two sets of n and m
-shingles a false common one has the chance n*m/2^40, which matters only at the border.
+whatever the leaders are. Sets are counted and compared by 64-bit hashes; index entries
+have the first 40 bits, which only add candidates.
 """
 
 from __future__ import annotations
@@ -35,22 +35,30 @@ TRIED = 8  # leaders a set is compared with; only the number of leaders depends
 HOT = 1 << 20  # shingles counted as frequent; only the order of shingles depends on it
 BROADCAST_ROWS = 2_000_000  # of 8 bytes
 SETS = "row bigint, doc_id bigint, n bigint, near bigint, shingles binary"
-_FIVE = 5
+_DROPPED = np.uint64(24)  # bits of a hash that index entries leave out
 PARTS = 32  # of the range of hashes, for the counts that rule pairs out
 
 
 def _packed(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Sets of 40-bit numbers as binary values of five bytes each."""
-    raw = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_FIVE])
+    """Sets of 64-bit numbers as binary values."""
+    raw = np.ascontiguousarray(hashes.astype("<u8", copy=False))
     return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(_FIVE * offsets.astype(np.int64)), pa.py_buffer(raw)]
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(8 * offsets.astype(np.int64)), pa.py_buffer(raw)]
     ).cast(pa.binary())
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // _FIVE, 8), np.uint8)
-    out[:, :_FIVE] = np.frombuffer(raw, np.uint8).reshape(-1, _FIVE)
-    return out.view("<u8").ravel()
+    return np.frombuffer(raw, "<u8")
+
+
+def _sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different hashes of each text, and how many."""
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    order = np.lexsort((hashes, doc))
+    doc, keys = doc[order], hashes[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    return keys[new], np.bincount(doc[new], minlength=len(offsets) - 1)
 
 
 def shingle_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,10 +71,7 @@ def shingle_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "t
         for batch in batches:
             for chunk in chunks(batch, "text"):
                 hashes, offsets = rolling(words_of(chunk.column("text"), UNBLANK), k)
-                doc = np.repeat(np.arange(len(chunk), dtype=np.uint64), np.diff(offsets))
-                keys = np.unique((doc << np.uint64(40)) | (hashes >> np.uint64(24)))
-                counts = np.bincount((keys >> np.uint64(40)).astype(np.int64), minlength=len(chunk))
-                keys &= np.uint64((1 << 40) - 1)
+                keys, counts = _sets(hashes, offsets)
                 offsets = np.concatenate(([0], np.cumsum(counts)))
                 near = np.zeros(len(chunk), np.int64)
                 some = counts > 0
@@ -88,7 +93,7 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for chunk in chunks(batch, "shingles", 24 << 20):
                 flat = np.concatenate([_unpacked(r.as_buffer()) for r in chunk.column("shingles")] or [np.zeros(0, np.uint64)])
-                shingle, n = np.unique(flat, return_counts=True)
+                shingle, n = np.unique(flat >> _DROPPED, return_counts=True)
                 often = n >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shingle[often].astype(np.int64)), pa.array(n[often])], names=["shingle", "n"]
@@ -141,16 +146,17 @@ def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
 
         def finish(leader: _Leader) -> None:
             values = leader.values
-            at = np.minimum(np.searchsorted(hot, values), max(0, len(hot) - 1))
-            order = values.copy()
+            short = values >> _DROPPED
+            at = np.minimum(np.searchsorted(hot, short), max(0, len(hot) - 1))
+            order = short.copy()
             if len(hot):
-                order += np.where(hot[at] == values, np.minimum(times[at], np.uint64(1 << 22)), np.uint64(0)) << np.uint64(40)
+                order += np.where(hot[at] == short, np.minimum(times[at], np.uint64(1 << 22)), np.uint64(0)) << np.uint64(40)
             order.sort()
             # the least overlap with a set within the bound leaves this many to look at
             bound = float(1 - 2 * linked) - leader.radius - 1e-9  # the other one's radius is ``linked`` at most
             length = len(values) - max(1, int(np.ceil(bound * len(values)))) + 1
             tokens = (order[:length] & np.uint64((1 << 40) - 1)).astype(np.int64)
-            spread = np.bincount((values >> np.uint64(35)).astype(np.int64), minlength=PARTS)
+            spread = np.bincount((short >> np.uint64(35)).astype(np.int64), minlength=PARTS)
             out.append((leader.row, leader.row, 0.0, len(values), leader.radius, tokens, np.minimum(spread, 65535).astype("<u2").tobytes()))
 
         last = None

@@ -248,6 +248,15 @@ def test_components_of_chains_and_crowds(spark, k, similarity):
     assert got == brute_components(rows, k, similarity)
 
 
+def test_sets_keep_shingles_that_agree_in_40_bits():
+    low, high, offsets = 5 << 24, (9 << 24) + 1, np.array([0, 4, 4, 6])
+    keys, counts = jaccard._sets(np.array([high, low, low + 1, low, low + 1, low + 2], np.uint64), offsets)
+    raw = jaccard._packed(keys, np.concatenate(([0], np.cumsum(counts))))
+    sets = [jaccard._unpacked(x.as_buffer()).tolist() for x in raw]
+    assert counts.tolist() == [3, 0, 2] and sets == [[low, low + 1, high], [], [low + 1, low + 2]]
+    assert jaccard._distance(*(np.array(x, np.uint64) for x in (sets[0], sets[2]))) == (1, 4)
+
+
 def test_near_copies_leave_one(spark, docs, empty):
     left = jaccard.drop_near_copies(docs)
     assert left.columns == docs.columns
