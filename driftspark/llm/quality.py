@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftspark.llm.common import chunks, extended, free_name, stored, with_columns
-from driftspark.llm.words import UNBLANK, hash_spans, text_bytes, words_of
+from driftspark.llm.words import UNBLANK, hash_spans, mix, text_bytes, words_of
 
 SAMPLE = 20_000
 VOCABULARY = 512
@@ -63,8 +63,7 @@ def shapes(column: pa.Array) -> np.ndarray:
     starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
     line_text = np.searchsorted(offsets, starts, side="right") - 1
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    # a long line is known by its first 64 bytes and its length
-    hashes = hash_spans(padded, starts, np.minimum(ends - starts, 64)) ^ (ends - starts).astype(np.uint64)
+    hashes = _line_hashes(padded, starts, ends - starts)
     lines = np.bincount(line_text, minlength=n) if len(starts) else np.zeros(n)
     out[:, 10] = 1 - _distinct(line_text, hashes, n) / np.maximum(1, lines)
     out[:, 11] = lines / some
@@ -72,6 +71,16 @@ def shapes(column: pa.Array) -> np.ndarray:
     return out
 
 
+def _line_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each whole line, as the sum of hashes of its 64-byte blocks and their numbers."""
+    blocks = (lengths + 63) // 64
+    first = np.cumsum(blocks) - blocks
+    nth = np.arange(blocks.sum()) - np.repeat(first, blocks)
+    at, size = np.repeat(starts, blocks) + 64 * nth, np.minimum(np.repeat(lengths, blocks) - 64 * nth, 64)
+    mixed = mix(hash_spans(data, at, size) ^ mix(nth.astype(np.uint64) + np.uint64(1)))
+    return np.add.reduceat(mixed, first) if len(first) else mixed
+
+
 def _distinct(group: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """How many different hashes each group has."""
     order = np.lexsort((hashes, group))

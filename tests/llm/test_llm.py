@@ -181,6 +181,14 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(clean) > 0.97
 
 
+def test_lines_are_told_apart_by_all_their_bytes():
+    import pyarrow as pa
+
+    head = "x" * 200
+    texts = [f"{head} 1\n{head} 2\n", f"{head} 1\n{head} 1\n", "y" * 64 + "z" * 64 + "\n" + "z" * 64 + "y" * 64 + "\n", "", "a\nb"]
+    assert quality.shapes(pa.array(texts))[:, 10].tolist() == [0, 0.5, 0, 0, 0]
+
+
 def test_sparse_groups_shrink_to_what_stands_above(spark):
     rows = [(i, "a", "p", 6.0 if i % 2 else -6.0) for i in range(400)] + [(i, "b", "p", 6.0) for i in range(400, 800)]
     rows += [(801, "new", "q", 6.0), (802, None, None, 0.0)]
