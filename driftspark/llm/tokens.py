@@ -13,6 +13,7 @@ Pieces are known by 64-bit hashes of their bytes.
 from __future__ import annotations
 
 import os
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -25,12 +26,13 @@ _PIECE = (_BYTES != 32) & (_BYTES != 10)
 _LETTER = ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
 _MARK = (_BYTES == ord(".")) | (_BYTES == ord(","))
 _ALONE = np.uint64(0x51ED270B9F3A7C15)  # set apart the hashes of pieces without a space before them
+KEEP = 600_000  # pieces known at once
 
 
 class Encoder:
     """``spaces``: a space belongs to the piece that follows it (byte-level BPE)."""
 
-    def __init__(self, path: str, end_id: int, spaces: bool, keep: int = 400_000):
+    def __init__(self, path: str, end_id: int, spaces: bool, keep: int = KEEP):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -46,6 +48,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)  # by place in ``hashes``: used again since it was learnt or kept
         self.values = np.concatenate(self.fixed)
         self.lengths = np.array([len(x) for x in self.fixed], np.int64)
 
@@ -108,28 +111,36 @@ class Encoder:
         hashes = hash_spans(data, starts, lengths)
         hashes[alone] = mix(hashes[alone] ^ _ALONE)
         different, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > self.keep:
+            self._keep_used()
+        known, numbers = np.zeros(len(different), bool), np.full(len(different), -1, np.int64)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, different), len(self.hashes) - 1)
             known = self.hashes[at] == different
-            numbers = np.where(known, self.numbers[at], -1)
-        else:
-            known, numbers = np.zeros(len(different), bool), np.full(len(different), -1, np.int64)
-        if len(self.hashes) > self.keep:  # keep only what is used again now
-            again = known & (numbers >= 0)
-            lengths_, values = self.lengths[numbers[again]], self._joined(numbers[again])
-            self._forget()
-            numbers[again] = self._store(values, lengths_) + np.arange(int(again.sum()))
-            self.hashes, self.numbers = different[known], numbers[known]
+            numbers[known] = self.numbers[at[known]]
+            self.again[at[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
             raw = data.tobytes()
             spans = zip(starts[first[new]].tolist(), (starts + lengths)[first[new]].tolist(), strict=True)
             numbers[new] = self._learn_pieces([raw[a:b].decode() for a, b in spans], alone[first[new]])
             merged = np.concatenate((self.hashes, different[new]))
-            order = np.argsort(merged)
+            order = np.argsort(merged, kind="stable")  # two sorted stretches: one merge
             self.hashes, self.numbers = merged[order], np.concatenate((self.numbers, numbers[new]))[order]
+            self.again = np.concatenate((self.again, np.zeros(len(new), bool)))[order]
         return numbers[inverse]
 
+    def _keep_used(self) -> None:
+        """Forget the pieces that were not used again; all of them where most were."""
+        kept = self.again & (self.numbers >= 0)
+        if 2 * kept.sum() > self.keep:
+            kept[:] = False
+        hashes, numbers = self.hashes[kept], self.numbers[kept]
+        lengths, values = self.lengths[numbers], self._joined(numbers)
+        self._forget()
+        self.numbers = self._store(values, lengths) + np.arange(len(hashes))
+        self.hashes, self.again = hashes, np.zeros(len(hashes), bool)
+
     def _joined(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of a sequence of pieces."""
         if not len(numbers):
@@ -179,3 +190,9 @@ class Encoder:
         numbers[place + fed] = cores
         numbers[(place + fed + 1)[marked]] = np.where(data[last[marked]] == ord("."), 2, 3)
         return self._joined(numbers), np.concatenate(([0], np.cumsum(self.lengths[numbers])))[ends]
+
+
+@cache
+def shared_encoder(path: str, end_id: int, spaces: bool) -> Encoder:
+    """The one encoder of this process: what a task has learnt serves the next one of its worker."""
+    return Encoder(path, end_id, spaces)
