@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftspark.llm.common import chunks, shared_folder
-from driftspark.llm.tokens import Encoder
+from driftspark.llm.tokens import shared_encoder
 from driftspark.llm.words import mix
 
 WINDOW = 4096
@@ -49,7 +49,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, spaces: bool, doc_id
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id, spaces)
+        encoder = shared_encoder(tokenizer, end_id, spaces)
         for batch in batches:
             for chunk in chunks(batch, "text", 4 << 20):
                 ids, offsets = encoder.encode(chunk.column("text"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftspark.llm.common import chunks, shared_folder
-from driftspark.llm.tokens import Encoder
+from driftspark.llm.tokens import shared_encoder
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -48,7 +48,7 @@ def write_tokens(
     placed = ordered.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id, spaces)
+        encoder = shared_encoder(tokenizer, end_id, spaces)
         for batch in batches:
             for chunk in chunks(batch, "text", 4 << 20):
                 ids, offsets = encoder.encode(chunk.column("text"))
