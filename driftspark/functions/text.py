@@ -85,24 +85,26 @@ def gaps(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(text, pattern, CUT), CUT, -1)
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """Matches of a pattern with their 0-based character positions.
+def raw(pattern: str) -> str:
+    """A regular expression as an SQL literal."""
+    return "r'" + pattern.replace("'", r"\x27") + "'"
 
-    Positions are a running sum over the matches and the gaps between them.
+
+def spans(text: str, pattern: str) -> str:
+    """SQL of the matches of a pattern in an SQL text, with their 0-based character positions.
+
+    Positions are a running sum over the matches and the gaps between them. As the extraction
+    nests many of these, they are SQL text: one call to the JVM parses a whole column.
     """
-    pairs = F.arrays_zip(
-        gaps(text, pattern).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-    )
-    pairs = F.filter(pairs, lambda pair: pair["hit"].isNotNull())
-
-    def add(state: Column, pair: Column) -> Column:
-        pos = state["pos"] + F.length(pair["gap"])
-        entry = F.struct(pair["hit"].alias("text"), pos.alias("pos"))
-        return F.struct(
-            (pos + F.length(pair["hit"])).alias("pos"),
-            F.array_append(state["found"], entry).alias("found"),
-        )
-
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN_TYPE).alias("found"))
-    return F.aggregate(pairs, start, add, lambda state: state["found"])
+    return f"""aggregate(
+      filter(
+        zip_with(
+          split(regexp_replace({text}, {raw(pattern)}, '{CUT}'), '{CUT}', -1),
+          regexp_extract_all({text}, {raw(pattern)}, 0),
+          (gap, hit) -> struct(gap, hit)),
+        both -> both.hit IS NOT NULL),
+      struct(0 AS pos, CAST(array() AS {SPAN_TYPE}) AS found),
+      (so_far, both) -> struct(
+        so_far.pos + length(both.gap) + length(both.hit) AS pos,
+        array_append(so_far.found, struct(both.hit AS text, so_far.pos + length(both.gap) AS pos)) AS found),
+      so_far -> so_far.found)"""

@@ -164,11 +164,20 @@ def affected_docs(
 
     def grouped(hits: DataFrame, where: Sequence[str], name: str) -> DataFrame:
         entry = F.struct(*HIT_ORDER, *where, "api_name")
-        return hits.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias(name))
+        return hits.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias(name))
 
     refs = grouped(references, ["line_no"], "ref_hits")
     exs = grouped(examples, ["start_line", "end_line", "language"], "example_hits")
-    hits = refs.join(exs, keys, "full_outer")
+    return cut_out(docs, refs.join(exs, keys, "full_outer"), scope)
+
+
+def cut_out(docs: DataFrame, hits: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
+    """Documents with the context and code of their hits.
+
+    ``hits`` has one row per affected document: ``ref_hits`` and ``example_hits``, ordered
+    arrays of positions and API names. Each document's text is joined once.
+    """
+    keys = [*scope, "path"]
     joined = docs.select(*keys, "content").join(hits, keys).withColumn(
         "lines", lines_of(F.col("content"))
     )
@@ -180,6 +189,7 @@ def affected_docs(
             F.concat_ws("\n", *near).alias("context"),
             F.lit("name").alias("reference_type"),
             hit["api_name"].alias("api_name"),
+            *[hit[c].alias(c) for c in HIT_ORDER],
         )
 
     def example(hit):

@@ -214,6 +214,42 @@ def search_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return apis.filter(F.length("name") <= 9), new
 
 
+def streamed_versions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three batches of file versions: the documents, and one code file per benchmark item that exports
+    the names of :func:`search_apis`, changed as in :func:`search_versions`. Then the short
+    documents and the code of every third item go."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))
+    texts = docs.select(corpus("doc_id").alias("repo"), path.alias("path"), F.col("text").alias("content"), "n_chars")
+    every = table(spark, sf_dir, "benchmark").select(
+        corpus("item_id").alias("repo"), F.concat(F.lit("src/bench/"), "item_id", F.lit(".ts")).alias("path"), "item_id"
+    )
+
+    def code(rows: str, params: Column | str) -> DataFrame:
+        line = F.concat(F.lit("export function "), "name", F.lit("("), params, F.lit(") {}"))
+        files = search_apis(spark, sf_dir).filter(rows).groupBy("repo", "path").agg(
+            F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines")
+        )
+        return every.join(files, ["repo", "path"], "left").select(
+            "repo", "path", F.concat_ws("\n", F.concat(F.lit("// item "), "item_id"), "lines").alias("content")
+        )
+
+    more = F.when(F.col("name").contains("th"), "a: string, b: number").otherwise("a: string")
+    none = F.lit(None).cast("string").alias("content")
+    revised = F.concat("content", F.lit("\nReviewed")).alias("content")
+    batches = [
+        texts.select("repo", "path", "content").unionByName(code("length(name) <= 9", F.lit("a: string"))),
+        texts.filter("n_chars > 1500").select("repo", "path", revised).unionByName(code("length(name) >= 6", more)),
+        texts.filter("n_chars < 300").select("repo", "path", none).unionByName(
+            every.filter("item_id % 3 = 0").select("repo", "path", none)
+        ),
+    ]
+    return [
+        rows.select("repo", "path", F.lit(version).cast("long").alias("version"), "content")
+        for version, rows in enumerate(batches)
+    ]
+
+
 def prose_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents"))
     path = F.concat(F.lit("docs/"), "source", F.lit("/"), "doc_id", F.lit(".md"))

@@ -15,6 +15,7 @@ from driftspark.operators import (
     changes,
     diff,
     extract,
+    index,
     lines,
     metrics,
     prompts,
@@ -25,7 +26,9 @@ from driftspark.operators import (
     validate,
 )
 from driftspark.plans import bindings as b
-from driftspark.streaming.watch import VERSIONS, checkpoint_root, watch
+from driftspark.sources.tables import checkpoint_root, written
+from driftspark.streaming.search import found_references, search_batch
+from driftspark.streaming.watch import VERSIONS, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,6 +129,21 @@ def streamed_changes(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
+@query
+def streamed_references(spark, sf_dir):
+    """Documents and code files arrive in three batches; after each, the lines that
+    name the APIs which it added, removed or modified."""
+    root = f"{checkpoint_root(spark)}/search-{uuid.uuid4().hex}"
+    inbox, name = f"{root}/inbox", f"search-{uuid.uuid4().hex}"
+    for batch in b.streamed_versions(spark, sf_dir):
+        batch.write.mode("append").parquet(inbox)
+        versions = spark.readStream.schema(VERSIONS).parquet(inbox)
+        watch(versions, search_batch(root), name, available_now=True).awaitTermination()
+    return found_references(spark, root).select(
+        F.col("batch").cast("int").alias("batch"), "repo", "path", "line_no", "context", "api_name", "api_path", "kind_rank"
+    )
+
+
 @query
 def added_apis(spark, sf_dir):
     """C1"""
@@ -283,7 +301,7 @@ def unreadable_files(spark, sf_dir):
 def built_signatures(spark, sf_dir):
     """H5: signature text from parameter structs."""
     _, new = b.part_apis(spark, sf_dir)
-    signature = function_signature(F.col("name"), F.col("parameters"), F.col("return_type"))
+    signature = F.expr(function_signature("name", "parameters", "return_type"))
     return new.select("repo", "path", "ordinal", signature.alias("signature"))
 
 
@@ -301,15 +319,11 @@ def unreadable_changes(spark, sf_dir):
 @query
 def source_drift(spark, sf_dir):
     """Severity of every changed source file that can be read."""
-    found, _ = _changed_sources(spark, sf_dir)
-    current = found.select("repo", "path", "language", "content")
-    previous = found.select(
-        "repo", "path", "language", F.coalesce("previous_content", F.lit("")).alias("content")
-    )
-    found_diff = diff.diff_apis(
-        extract.extract_api_elements(previous), extract.extract_api_elements(current)
-    )
-    return diff.grade_changes(found_diff, found).select("repo", "path", "severity", "n_changed")
+    found = changes.diff_eligible(changes.detect_changes(*b.part_sources(spark, sf_dir)))
+    apis, _ = extract.extract_changed_apis(found)
+    readable, _ = extract.split_unreadable(found)
+    graded = diff.grade_changes(diff.diff_sides(apis), readable)
+    return graded.select("repo", "path", "severity", "n_changed")
 
 
 # References
@@ -321,10 +335,10 @@ def _search(spark, sf_dir):
 
 
 def _hits(spark, sf_dir):
+    """Listed APIs, documents, and the places that name an API: the documents are cut once."""
     listed, names = _search(spark, sf_dir)
     docs = b.markdown_docs(spark, sf_dir).select("repo", "path", "content")
-    found = references.find_references(docs, names)
-    return listed, docs, found, references.find_examples(docs, names)
+    return listed, docs, index.search(index.postings(docs), names, docs)
 
 
 @query
@@ -353,22 +367,25 @@ def code_examples(spark, sf_dir):
 @query
 def missing_docs(spark, sf_dir):
     """Public APIs that nothing names."""
-    listed, _, found, examples = _hits(spark, sf_dir)
-    return references.missing_docs(listed, found, examples).select("path", "name", "signature")
+    listed, _, hits = _hits(spark, sf_dir)
+    return index.missing_docs(listed, index.named_apis(hits)).select("path", "name", "signature")
 
 
 @query
 def document_hits(spark, sf_dir):
     """D3 as counts."""
-    _, _, found, examples = _hits(spark, sf_dir)
-    return references.document_hits(found, examples)
+    _, names = _search(spark, sf_dir)
+    docs = b.markdown_docs(spark, sf_dir).select("repo", "path", "content")
+    return references.document_hits(
+        references.find_references(docs, names), references.find_examples(docs, names)
+    )
 
 
 @query
 def affected_documents(spark, sf_dir):
     """D3: affected documents with ordered references and examples."""
-    _, docs, found, examples = _hits(spark, sf_dir)
-    rows = references.affected_docs(docs, found, examples)
+    _, docs, hits = _hits(spark, sf_dir)
+    rows = index.affected_docs(docs, index.document_matches(hits))
 
     def joined(items: str, *fields: str) -> Column:
         return F.array_join(
@@ -497,7 +514,9 @@ def project_context(spark, sf_dir):
 @query
 def context_examples(spark, sf_dir):
     """Examples of the affected documents with their corpus' language."""
-    _, _, _, examples = _hits(spark, sf_dir)
+    _, names = _search(spark, sf_dir)
+    docs = b.markdown_docs(spark, sf_dir).select("repo", "path", "content")
+    examples = references.find_examples(docs, names)
     corpora = examples.select("repo").distinct()
     context = style.build_context(corpora, ["lib/**/*.py", "src/**/*.go"])
     found = style.context_examples(examples, context)
@@ -580,8 +599,8 @@ def failed_answers(spark, sf_dir):
 @query
 def new_doc_updates(spark, sf_dir):
     """Updates that create documents for undocumented APIs."""
-    listed, _, found, examples = _hits(spark, sf_dir)
-    missing = references.missing_docs(listed, found, examples)
+    listed, _, hits = _hits(spark, sf_dir)
+    missing = index.missing_docs(listed, index.named_apis(hits))
     texts = listed.select("repo", "name").distinct().withColumn(
         "updated_content", F.concat(F.lit("# "), "name")
     )
@@ -598,23 +617,18 @@ def change_sections(spark, sf_dir):
     return prompts.change_sections(entries, entries.withColumn("path", F.col("api_path")))
 
 
-def _prompt_inputs(spark, sf_dir):
-    listed, docs, found, examples = _hits(spark, sf_dir)
-    affected = references.affected_docs(docs, found, examples)
-    blocks = references.code_blocks(docs)
-    context = style.build_context(style.style_guide(docs, blocks), CODE_GLOBS, "markdown", "Be brief")
-    empty = listed.filter(F.lit(False))
-    entries = prompts.change_entries(diff.diff_apis(empty, b.search_apis(spark, sf_dir)))
-    missing = references.missing_docs(listed, found, examples)
-    api = ["repo", "path", "kind_rank", "api_path", "api_ordinal"]
-    mentions = found.select(*api).unionByName(examples.select(*api))
-    return affected, context, prompts.change_sections(entries, mentions), missing
+def _prompt_context(spark, sf_dir):
+    """One row per corpus, computed once."""
+    docs = b.markdown_docs(spark, sf_dir).select("repo", "path", "content")
+    guide = style.style_guide(docs, references.code_blocks(docs))
+    return written(style.build_context(guide, CODE_GLOBS, "markdown", "Be brief"), "context")
 
 
 @query
 def reference_sections(spark, sf_dir):
     """Reference and example sections of each affected document."""
-    affected, *_ = _prompt_inputs(spark, sf_dir)
+    _, docs, hits = _hits(spark, sf_dir)
+    affected = index.affected_docs(docs, index.document_matches(hits))
     return affected.select(
         "path",
         prompts.reference_section(F.col("references")).alias("reference_section"),
@@ -625,16 +639,21 @@ def reference_sections(spark, sf_dir):
 @query
 def update_prompts(spark, sf_dir):
     """One prompt per affected document."""
-    affected, context, sections, _ = _prompt_inputs(spark, sf_dir)
-    built = prompts.build_prompts(affected, context, sections)
+    listed, docs, hits = _hits(spark, sf_dir)
+    matches = written(index.document_matches(hits), "matches")
+    entries = prompts.change_entries(diff.diff_apis(listed.filter(F.lit(False)), listed))
+    sections = prompts.change_sections(entries, index.mentions(matches))
+    context = _prompt_context(spark, sf_dir)
+    built = prompts.build_prompts(index.affected_docs(docs, matches), context, sections)
     return built.select("path", "system", "user")
 
 
 @query
 def new_doc_prompts(spark, sf_dir):
     """H14 for undocumented APIs."""
-    _, context, _, missing = _prompt_inputs(spark, sf_dir)
-    return prompts.build_new_doc_prompts(missing, context).drop("repo")
+    listed, _, hits = _hits(spark, sf_dir)
+    missing = index.missing_docs(listed, index.named_apis(hits))
+    return prompts.build_new_doc_prompts(missing, _prompt_context(spark, sf_dir)).drop("repo")
 
 
 # Review

@@ -230,6 +230,23 @@ ORACLE: dict[str, str] = {
     "file_languages": f"WITH {SNAPSHOTS} SELECT language, count(*) AS n_files FROM old_files GROUP BY language",
     "diff_eligible_files": f"""WITH {SNAPSHOTS} SELECT repo, change_type, count(*) AS n_files FROM changes
       WHERE change_type = 'added' OR length(previous_content) > 0 GROUP BY repo, change_type""",
+    "streamed_references": f"""WITH {SEARCH}, d AS (SELECT concat('corpus', doc_id % 5) AS repo, n_chars,
+        concat('docs/', source, '/', doc_id, '.md') AS path, text,
+        CASE WHEN n_chars > 1500 THEN concat(text, {NL}, 'Reviewed') ELSE text END AS revised FROM documents),
+      docs AS (SELECT 0 AS batch, repo, path, string_split(text, {NL}) AS ls FROM d
+        UNION ALL SELECT 1, repo, path, string_split(revised, {NL}) FROM d
+        UNION ALL SELECT 2, repo, path, string_split(revised, {NL}) FROM d WHERE NOT coalesce(n_chars < 300, FALSE)),
+      doc_lines AS (SELECT batch, repo, path, ls, generate_subscripts(ls, 1) AS line_no, unnest(ls) AS line FROM docs),
+      doc_tokens AS (SELECT * EXCLUDE (line), unnest(list_distinct(regexp_extract_all(line, {TOKENS}))) AS token FROM doc_lines),
+      touched AS (SELECT 0 AS batch, repo, path, name, 1 AS kind_rank FROM apis WHERE length(name) <= 9
+        UNION ALL SELECT 1, repo, path, name, CASE WHEN length(name) > 9 THEN 1 WHEN length(name) < 6 THEN 2 ELSE 3 END
+          FROM apis WHERE length(name) > 9 OR length(name) < 6 OR contains(name, 'th')
+        UNION ALL SELECT 2, repo, path, name, 2 FROM apis
+          WHERE length(name) >= 6 AND CAST(regexp_extract(path, '([0-9]+)', 1) AS INTEGER) % 3 = 0)
+      SELECT t.batch, t.repo, t.path, line_no,
+        concat_ws({NL}, CASE WHEN line_no > 1 THEN ls[line_no - 1] END, ls[line_no], ls[line_no + 1]) AS context,
+        name AS api_name, a.path AS api_path, kind_rank
+      FROM doc_tokens t JOIN touched a ON a.batch = t.batch AND a.repo = t.repo AND a.name = t.token""",
     "streamed_changes": f"""WITH files AS (SELECT source AS repo, concat('src/', doc_id, '.ts') AS path, text, n_chars,
         concat(text, {NL}, 'Reviewed') AS revised FROM documents)
       SELECT repo, path, 'added' AS change_type, 'typescript' AS language, text AS content, CAST(NULL AS VARCHAR) AS previous_content FROM files
