@@ -7,9 +7,8 @@ do in linear memory; Spark partitions the pairs and these helpers see one pair.
 from __future__ import annotations
 
 import sys
-from bisect import bisect_left
-from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -18,44 +17,61 @@ from pyspark.sql import types as T
 # Workers get these functions by value: the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+
 def line_tokens(text: str) -> list[str]:
     """Lines with their line end; a last line without one is its own token."""
     tokens = text.split("\n")
     return [t + "\n" for t in tokens[:-1]] + ([tokens[-1]] if tokens[-1] else [])
 
 
+def _last_row(a: list[int], b: list[int]) -> np.ndarray:
+    """For each j the length of a longest common run of ``a`` and ``b[:j]``.
+
+    One row of the table of lengths is one integer with a bit per line of ``b`` (Hyyro 2004): a line of ``a``
+    costs a few operations on it, however often both sides repeat a line.
+    """
+    places: dict[int, int] = {}
+    for j, line in enumerate(b):
+        places[line] = places.get(line, 0) | 1 << j
+    whole = (1 << len(b)) - 1
+    row = whole
+    for line in a:
+        hits = row & places.get(line, 0)
+        row = (row + hits | row - hits) & whole
+    steps = np.unpackbits(np.frombuffer((row ^ whole).to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.concatenate(([0], np.cumsum(steps[: len(b)], dtype=np.int64)))
+
+
 def kept_pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Positions of a longest common run of lines (Hunt and Szymanski 1977).
+    """Positions of a longest common run of lines, in linear space (Hirschberg 1975).
 
-    The matching positions of ``b`` are taken line by line of ``a``, last first, and the
-    longest rising run among them is kept: n log n steps over integers, plus one for
-    each further copy of a line that both sides repeat. Equal ends are set aside first.
+    Equal ends are set aside. Half of what is left of ``a`` goes with that part of ``b`` where both
+    halves keep most lines, and so on with the halves.
     """
-    head = 0
-    while head < min(len(a), len(b)) and a[head] == b[head]:
-        head += 1
-    tail = 0
-    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    places = defaultdict(list)
-    for j in range(len(b) - tail - 1, head - 1, -1):
-        places[b[j]].append(j)
-    tops: list[int] = []
-    trails: list[tuple | None] = []
-    for i in range(head, len(a) - tail):
-        for j in places.get(a[i], ()):
-            place = bisect_left(tops, j)
-            if place < len(tops) and tops[place] == j:
-                continue
-            tops[place : place + 1] = [j]
-            trails[place : place + 1] = [(i, j, trails[place - 1] if place else None)]
-    middle = []
-    trail = trails[-1] if trails else None
-    while trail:
-        middle.append(trail[:2])
-        trail = trail[2]
-    ends = [(len(a) - n, len(b) - n) for n in range(tail, 0, -1)]
-    return [(i, i) for i in range(head)] + middle[::-1] + ends
+    number: dict[str, int] = {}
+    left, right = ([number.setdefault(line, len(number)) for line in lines] for lines in (a, b))
+    found: list[tuple[int, int]] = []
+    waiting = [(0, len(left), 0, len(right))]
+    while waiting:
+        i, i_end, j, j_end = waiting.pop()
+        while i < i_end and j < j_end and left[i] == right[j]:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        while i < i_end and j < j_end and left[i_end - 1] == right[j_end - 1]:
+            i_end, j_end = i_end - 1, j_end - 1
+            found.append((i_end, j_end))
+        if i == i_end or j == j_end:
+            continue
+        if i_end - i == 1:
+            if left[i] in right[j:j_end]:
+                found.append((i, right.index(left[i], j)))
+            continue
+        half = (i + i_end) // 2
+        above = _last_row(left[i:half], right[j:j_end])
+        below = _last_row(left[half:i_end][::-1], right[j:j_end][::-1])[::-1]
+        cut = j + int((above + below).argmax())
+        waiting += [(i, half, j, cut), (half, i_end, cut, j_end)]
+    return sorted(found)
 
 
 def shortest_edits(old: list[str], new: list[str]) -> list[tuple[str, str]]:
