@@ -26,6 +26,7 @@ from driftspark.operators import (
     validate,
 )
 from driftspark.plans import bindings as b
+from driftspark.sources.files import read_decision_log, write_decision_log
 from driftspark.sources.tables import checkpoint_root, written
 from driftspark.streaming.search import found_references, search_batch
 from driftspark.streaming.watch import VERSIONS, watch
@@ -705,6 +706,42 @@ def decision_log(spark, sf_dir):
     return review.decision_log(_decided(spark, sf_dir)).drop("ts")
 
 
+@query
+def logged_decisions(spark, sf_dir):
+    """The log after its sink has run, failed to report and run again."""
+    log = f"{checkpoint_root(spark)}/log-{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_decision_log(_decided(spark, sf_dir), log, run="review")
+    return read_decision_log(spark, log).drop("ts", "run", "batch")
+
+
+@query
+def observed_run(spark, sf_dir):
+    """D5 by observation: the counts of a run, taken while its tables are written."""
+    run = metrics.RunObservation(spark)
+    found = run.files_analyzed(changes.detect_changes(*b.part_sources(spark, sf_dir)))
+    found = written(found, "changes")
+    apis, errors = extract.extract_changed_apis(changes.diff_eligible(found))
+    written(run.errors(errors), "errors")
+    readable, _ = extract.split_unreadable(changes.diff_eligible(found))
+    graded = diff.grade_changes(diff.diff_sides(apis), readable, "minor")
+    written(run.apis_changed(graded), "graded")
+    updates, decisions = b.reviewed_updates(spark, sf_dir)
+    written(run.updates_generated(updates), "updates")
+    paired = review.pair_decisions(updates, review.resolve_decisions(decisions))
+    written(run.docs_updated(review.approved_updates(paired)), "approved")
+    return run.metrics()
+
+
+@query
+def stored_files_in_scope(spark, sf_dir):
+    """B1, B2 on a stored snapshot: ranges of paths reach the scan, texts elsewhere are not read."""
+    _, new = b.snapshots(spark, sf_dir)
+    stored = written(new.repartitionByRange("path").sortWithinPartitions("path"), "snapshot")
+    kept = changes.filter_paths(stored, ["src/src1/**/*.ts", "src/src2/*"], ["**/*.test.ts"])
+    return kept.select("repo", "path", F.length("content").alias("n_chars"))
+
+
 @query
 def run_metrics(spark, sf_dir):
     """D5"""

@@ -402,6 +402,15 @@ ORACLE: dict[str, str] = {
       FROM (SELECT *, concat('docs/', source, '/', doc_id, '.md') AS path FROM documents) d LEFT JOIN approved a ON d.path = a.path""",
     "decision_log": f"""WITH {REVIEWS} SELECT repo, path, action, concat('review of ', lang) AS reasoning, feedback,
         coalesce(length(edited_content) > 0, FALSE) AS had_edited_content FROM resolved WHERE feedback IS DISTINCT FROM 'Skipped by user'""",
+    "logged_decisions": f"""WITH {REVIEWS} SELECT repo, path, action, concat('review of ', lang) AS reasoning, feedback,
+        coalesce(length(edited_content) > 0, FALSE) AS had_edited_content FROM resolved WHERE feedback IS DISTINCT FROM 'Skipped by user'""",
+    "stored_files_in_scope": f"""WITH {SNAPSHOTS} SELECT repo, path, length(content) AS n_chars FROM new_files
+      WHERE (path LIKE 'src/src1/%.ts' OR path LIKE 'src/src2/%') AND path NOT LIKE '%.test.ts'""",
+    "observed_run": f"""WITH {REVIEWS}, {CHANGED_PARTS}, m AS (SELECT (SELECT count(*) FROM changed_parts) AS files_analyzed,
+        (SELECT count(*) FROM changed_parts WHERE problem IS NULL) AS apis_changed, (SELECT count(*) FROM labelled) AS updates_generated,
+        (SELECT count(*) FROM approved) AS docs_updated, (SELECT count(*) FROM changed_parts WHERE problem IS NOT NULL) AS errors)
+      SELECT *, concat('Generated ', updates_generated, ' documentation update(s). Applied ', docs_updated, ' update(s). Encountered ', errors,
+        ' error(s). Analyzed ', files_analyzed, ' file(s). Found ', apis_changed, ' API change(s).') AS summary FROM m""",
     "run_metrics": f"""WITH {SNAPSHOTS}, {API_DIFF}, {REVIEWS}, {CHANGED_PARTS}, m AS (SELECT (SELECT count(*) FROM changes) AS files_analyzed,
         (SELECT sum(n_changed) FROM graded WHERE severity_rank >= 1)::BIGINT AS apis_changed, (SELECT count(*) FROM labelled) AS updates_generated,
         (SELECT count(*) FROM approved) AS docs_updated, (SELECT count(*) FROM changed_parts WHERE problem IS NOT NULL) AS errors)

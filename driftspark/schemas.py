@@ -39,3 +39,6 @@ API_FIELDS = (
     "parameters",
     "location",
 )
+DECISION_LOG = (
+    "ts timestamp, repo string, path string, action string, reasoning string, feedback string, had_edited_content boolean"
+)

@@ -56,7 +56,7 @@ def test_only_tokens_travel_to_the_search_list(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_plans(spark, name):
-    if name == "streamed_changes":  # already a stored table
+    if name in ("streamed_changes", "streamed_references"):  # already stored tables
         return
     text = plan(QUERIES[name](spark, SF))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)
@@ -66,3 +66,20 @@ def test_scans_read_only_the_needed_columns(spark):
     text = plan(QUERIES["file_languages"](spark, SF))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert any("lang:string" in s and "text" not in s for s in schemas), schemas
+
+
+def test_path_ranges_reach_the_scan(spark):
+    text = plan(QUERIES["stored_files_in_scope"](spark, SF))
+    pushed = re.search(r"PushedFilters: \[(.*?)\]\s*,? ReadSchema", text)[1]
+    assert "GreaterThanOrEqual(path,SRC/SRC1/)" in pushed and "LessThan(path,src/src10)" in pushed
+
+
+@pytest.mark.parametrize(("name", "most"), [("changed_files", 4), ("source_drift", 4), ("update_prompts", 5)])
+def test_tables_are_read_few_times(spark, name, most):
+    # two of changed_files' scans are the labels that decide which files each side has
+    assert plan(QUERIES[name](spark, SF)).count("FileScan") <= most
+
+
+def test_missing_docs_need_no_text_join(spark):
+    joins = [line for line in plan(QUERIES["missing_docs"](spark, SF)).split("\n") if "Join" in line]
+    assert joins and not any("content" in line or "path" in line for line in joins)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,16 @@ def test_edit_script_is_minimal(seed):
         assert sum(op == "=" for op, _ in script) == longest_common(a, b)
 
 
+def test_many_repeated_lines_are_aligned_fast():
+    rng = random.Random(5)
+    a, b = (["" if rng.random() < 0.5 else f"line {rng.randrange(40_000)}" for _ in range(20_000)] for _ in range(2))
+    started = time.process_time()
+    pairs = alignment.kept_pairs(a, b)
+    assert time.process_time() - started < 5  # about 0.7 s
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
 def test_sections_rebuild_the_new_text():
     rng = random.Random(3)
     for _ in range(500):
