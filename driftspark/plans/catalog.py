@@ -26,7 +26,7 @@ from driftspark.operators import (
     validate,
 )
 from driftspark.plans import bindings as b
-from driftspark.sources.files import read_decision_log, write_decision_log
+from driftspark.sources.files import read_decision_log, scan_files, write_decision_log
 from driftspark.sources.tables import checkpoint_root, written
 from driftspark.streaming.search import found_references, search_batch
 from driftspark.streaming.watch import VERSIONS, watch
@@ -145,6 +145,23 @@ def streamed_references(spark, sf_dir):
     )
 
 
+@query
+def scanned_files(spark, sf_dir):
+    """A1: the documents written as a tree, one file each (the writer ends it with a line end), and scanned."""
+    root = f"{checkpoint_root(spark)}/tree-{uuid.uuid4().hex}"
+    docs = b.table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    tree = docs.select("source", "doc_id", F.col("text").alias("value"))
+    tree.repartition("source", "doc_id").write.partitionBy("source", "doc_id").text(root)
+    files = scan_files(spark, [root], "tree")
+    place = r"source=([^/]*)/doc_id=(\d+)/"
+    return files.select(
+        "repo",
+        F.regexp_extract("path", place, 1).alias("source"),
+        F.regexp_extract("path", place, 2).cast("long").alias("doc_id"),
+        "content",
+    )
+
+
 @query
 def added_apis(spark, sf_dir):
     """C1"""

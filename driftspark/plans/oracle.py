@@ -230,6 +230,7 @@ ORACLE: dict[str, str] = {
     "file_languages": f"WITH {SNAPSHOTS} SELECT language, count(*) AS n_files FROM old_files GROUP BY language",
     "diff_eligible_files": f"""WITH {SNAPSHOTS} SELECT repo, change_type, count(*) AS n_files FROM changes
       WHERE change_type = 'added' OR length(previous_content) > 0 GROUP BY repo, change_type""",
+    "scanned_files": "SELECT 'tree' AS repo, source, doc_id, concat(text, chr(10)) AS content FROM documents WHERE text IS NOT NULL",
     "streamed_references": f"""WITH {SEARCH}, d AS (SELECT concat('corpus', doc_id % 5) AS repo, n_chars,
         concat('docs/', source, '/', doc_id, '.md') AS path, text,
         CASE WHEN n_chars > 1500 THEN concat(text, {NL}, 'Reviewed') ELSE text END AS revised FROM documents),
