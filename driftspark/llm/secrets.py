@@ -25,6 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftspark.llm.common import stored
+
 KINDS = ("assign", "access", "hex")
 
 # Shapes of the base kinds (hex and access runs are whole runs, so a least length finds the same).
@@ -199,8 +201,13 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Null and empty texts have no spans. Repeated rows stay; other columns are left out.
     """
-    rows = _matches(docs, doc_id, text).where(F.expr(_valid()))
-    judged = _judged(rows.where("kind = 'random'"))
+    spark = docs.sparkSession
+    rows = stored(_matches(docs, doc_id, text).where(F.expr(_valid())), "matches")  # one pass over the texts
+    # Candidates are few but dear: a set number of tasks. Stored, as a filter on the battery's outcome
+    # would be moved below it and write it out again inside itself.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    candidates = rows.where("kind = 'random'").repartition(tasks, "row", "start")
+    judged = stored(_judged(candidates), "judged")
     finds = judged.join(thresholds(judged), "length_class").where("bin <= last_bin AND is_random").select(*rows.columns)
     every = rows.where("kind != 'random'").unionByName(finds)
     rank = F.expr("array_position(array('assign', 'access', 'hex', 'random'), kind)")
