@@ -546,3 +546,88 @@ def test_pipeline_stages(spark):
     assert {p.doc_id for p in pieces} == {r.doc_id for r in docs.collect()}
     everything = driver.queries()["pipeline"](spark, SF)
     assert everything.count() >= everything.select("doc_id").distinct().count() == len({p.doc_id for p in pieces})
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path, empty):
+    import corpus_pipeline
+
+    sf = tmp_path / "sf"
+    rows = [(i, t, "en", s, 1, w) for i, t, s, w in ROWS] + [(None, None, None, None, None, None), (11, STORY * 40, None, "en", 2, None)]
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string"
+    frame = spark.createDataFrame(rows, columns)
+    for labels in ([], [(1, 0, 0), (2, 1, 0), (None, 1, None), (3, None, 1), (3, 1, 0)]):
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.mode("overwrite").parquet(f"{sf}/labels.parquet")
+        spark.createDataFrame([(1, STORY), (2, None), (None, "")], "item_id bigint, text string").write.mode("overwrite").parquet(f"{sf}/benchmark.parquet")
+        for table in (frame, frame.limit(0)):
+            table.write.mode("overwrite").parquet(f"{sf}/documents.parquet")
+            docs = spark.read.parquet(f"{sf}/documents.parquet")
+            kept = {}
+            for name, stage in corpus_pipeline.STAGES[:-1]:
+                found = stage(spark, docs, str(sf))
+                assert found.columns == docs.columns
+                kept[name] = [tuple(r) for r in found.collect()]
+                docs = spark.createDataFrame(kept[name], docs.schema)
+            pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(sf)).collect()
+            assert corpus_pipeline.run(spark, str(sf)).count() == len(pieces)
+            if table is not frame:
+                assert not pieces and not any(kept.values())
+            elif not labels:
+                assert Counter(kept["quality_classifier"]) == Counter(tuple(r) for r in rows)
+                texts = [BLANK.sub("", r[1] or "") for r in kept["exact_dedup"]]
+                assert sorted(texts) == sorted({BLANK.sub("", r[1] or "") for r in rows})
+                # the story is in the benchmark; what is linked to it is gone with it
+                left = {r[1] for r in kept["benchmark_decontamination"]}
+                assert not any(STORY in BLANK.sub(" ", t or "") for t in left) and "no id here at all" in left and "short" in left
+                assert all(p.length > 0 for p in pieces) and {p.doc_id for p in pieces} == {r[0] for r in kept["benchmark_decontamination"]}
+
+
+def test_quality_posterior_by_a_second_computation(spark):
+    """Rates and posteriors of grouped sums against plain loops over the documents."""
+    rng = np.random.default_rng(7)
+    rows = [(i, float(rng.normal()), rng.choice(["a", "b", None], p=[0.7, 0.2, 0.1]), rng.choice(["x", "y"])) for i in range(300)]
+    rows.append((300, 0.3, "lone", "x"))
+    prior = 0.3
+    frame = spark.createDataFrame(rows, "doc_id bigint, evidence double, host string, path string")
+    judged, names = quality.with_posteriors(frame, F.col("host"), F.col("path"), "evidence", prior)
+    found = {r.doc_id: (r[names["host_rate"]], r[names["path_rate"]], r[names["p_reject"]]) for r in judged.collect()}
+    odds = math.log(prior / (1 - prior))
+    own = {i: 1 / (1 + math.exp(-(e + odds))) for i, e, _, _ in rows}
+    groups = quality.rates(frame, F.col("host"), F.col("path"), "evidence", prior)
+    overall = sum(own.values()) / len(rows)
+    assert math.isclose(groups.overall, overall, rel_tol=1e-9)
+
+    of_host, of_path = {}, {}
+    for i, _, h, p in rows:
+        of_host.setdefault(h or "", []).append(own[i])
+        of_path.setdefault((h or "", p), []).append(own[i])
+    clip = lambda x: min(max(x, 1e-4), 1 - 1e-4)
+    for i, e, h, p in rows:
+        mine, near, here = own[i], of_host[h or ""], of_path[h or "", p]
+        host = clip((sum(near) - mine + groups.host_strength * overall) / (len(near) - 1 + groups.host_strength))
+        path = clip((sum(here) - mine + groups.path_strength * host) / (len(here) - 1 + groups.path_strength))
+        reject = 1 / (1 + math.exp(-(e + math.log(path / (1 - path)))))
+        assert np.allclose(found[i], (host, path, reject), rtol=1e-9)
+
+
+def test_battery_against_numpy(spark):
+    rng = np.random.default_rng(11)
+    symbols = "0123456789abcdef"
+    values = ["".join(rng.choice(list(symbols), n)) for n in (24, 40, 64, 200)] + ["0123456789abcdef" * 4, "0f" * 20]
+    frame = spark.createDataFrame([(v,) for v in values], "value string")
+    for row in secrets.battery(frame).collect():
+        codes = np.array([symbols.index(c) for c in row.value], float)
+        n, m = len(codes), len(symbols)
+        counts = np.bincount(codes.astype(int), minlength=m)
+        chi = ((counts - n / m) ** 2 / (n / m)).sum()
+        spread = 2 / (9 * (m - 1))
+        assert row.encoding == "hex" and row.n == n
+        assert math.isclose(row.chi_z, (max(chi, 0) / (m - 1)) ** (1 / 3) / math.sqrt(spread) - (1 - spread) / math.sqrt(spread), abs_tol=1e-9)
+        high = codes >= m / 2
+        runs, up = 1 + int((high[1:] != high[:-1]).sum()), int(high.sum())
+        product = 2.0 * up * (n - up)
+        variance = product * (product - n) / (n * n * (n - 1))
+        expected = abs(runs - 1 - product / n) / math.sqrt(variance) if variance > 0 else 99
+        assert math.isclose(row.runs_z, expected, abs_tol=1e-9)
+        centred = codes - codes.mean()
+        serial = abs((centred[1:] * centred[:-1]).sum() / (centred**2).sum()) * math.sqrt(n)
+        assert math.isclose(row.serial_z, serial, abs_tol=1e-9)
