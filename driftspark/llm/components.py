@@ -30,3 +30,19 @@ def components(edges: DataFrame) -> DataFrame:
                 current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         mark = now
+
+
+def merged(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, root) of earlier ones and further links (a, b), stored. Only the roots that the links
+    join are searched; without earlier components this is :func:`components`."""
+    if groups is None:
+        return stored(components(links), "components")
+    ends = links
+    for end in ("a", "b"):
+        root = groups.select(F.col("node").alias(end), F.col("root").alias("to"))
+        ends = ends.join(root, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    joined = stored(components(ends.select("a", "b")), "components")
+    moved = joined.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    old = groups.join(moved, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    new = joined.join(groups.select("node"), "node", "left_anti")
+    return stored(old.unionByName(new), "components")

@@ -1,19 +1,20 @@
 """Exact similarity join on sets of word shingles, by set relations.
 
-The method has two parts. *Answers from similar sets*: sets that are linked to a leader
-are attached to it with their distance, and are not searched for on their own. As
-the Jaccard distance is a metric, a link between sets attached to leaders A and B needs
-d(A, B) <= t + r(A) + r(B), with t the largest linked distance and r the largest distance
-of an attached set. So leaders are searched for with that wider bound, and their members'
-answers follow from theirs; only where the bound leaves an answer open, and the two are not
-connected yet, are members compared. *Skipping in the index*: the leaders' rarest shingles
-are index lists, sorted by set size; an entry skips the blocks of its list whose sizes, or
-whose positions in their sets, rule out the bound. A pair that is left is ruled out next where the
-counts of both sets in the parts of the hash range differ too much.
-
-Leaders and index are only ways to find links: every link between different sets is found
-whatever the leaders are. Sets are counted and compared by 64-bit hashes; index entries
-have the first 40 bits, which only add candidates.
+The method has two parts. *Answers from similar sets*: a set that is linked to a leader is attached to
+it with its distance, and is not searched for on its own: it only adds its rarest shingles to the
+leader's. What the leader is linked to answers for its members. As the Jaccard distance is a metric, sets attached
+to leaders A and B can only be linked where d(A, B) <= t + r(A) + r(B), with t the largest linked distance and r the
+largest distance of an attached set; only where that leaves an answer open, and the two are not
+connected yet, are members compared. Answers also grow step by step: a leader is first compared with
+a neighbour in each of its lists only, and pairs that are connected by then are not formed any more.
+*Skipping in the index*: the rarest shingles of the leaders' sets are index lists, sorted by set
+size and cut into blocks. A block is skipped by an entry where the sizes in the block, or the shingles that are left
+behind the entries' positions, cannot give the needed overlap; single entries are then tested likewise. A
+pair that is left is ruled out next where the counts of both sets in the parts of the hash range differ too much.
+
+Leaders and index are only ways to find links: two linked sets share one of the shingles that each of them has
+put into the lists, so every link between different sets is found whatever the leaders are. Sets are counted and
+compared by 64-bit hashes; index entries have the first 40 bits, which only add candidates.
 """
 
 from __future__ import annotations
@@ -28,9 +29,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftspark.llm.common import chunks, most_frequent, stored
-from driftspark.llm.components import components
+from driftspark.llm.components import merged
 from driftspark.llm.words import UNBLANK, mix, rolling, words_of
 
+LEADERS = (
+    "row bigint, leader bigint, distance double, n bigint, least bigint, most bigint, radius double, "
+    "tokens array<bigint>, places array<int>, spread binary"
+)
+MARKS = 1 << 24  # parts of the range of min-hashes
+HELD = 1 << 20  # list entries of one leader, from which on a new one takes over
+ROUNDS = 2  # in which only neighbours of lists are compared, before all pairs
+LISTS = 8  # every so many-th list is looked at in such a round
+ORDERS = 4  # of a round's lists
+BLOCK = 64  # entries of a list that are skipped together
 TRIED = 8  # leaders a set is compared with; only the number of leaders depends on it
 HOT = 1 << 20  # shingles counted as frequent; only the order of shingles depends on it
 BROADCAST_ROWS = 2_000_000  # of 8 bytes
@@ -69,7 +80,7 @@ def shingle_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "t
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch, "text"):
+            for chunk in chunks(batch, "text", 4 << 20):
                 hashes, offsets = rolling(words_of(chunk.column("text"), UNBLANK), k)
                 keys, counts = _sets(hashes, offsets)
                 offsets = np.concatenate(([0], np.cumsum(counts)))
@@ -91,7 +102,7 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch, "shingles", 24 << 20):
+            for chunk in chunks(batch, "shingles", 8 << 20):
                 flat = np.concatenate([_unpacked(r.as_buffer()) for r in chunk.column("shingles")] or [np.zeros(0, np.uint64)])
                 shingle, n = np.unique(flat >> _DROPPED, return_counts=True)
                 often = n >= 2
@@ -105,9 +116,46 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return top["shingle"].to_numpy(np.uint64), top["n"].to_numpy(np.uint64)
 
 
+def _shared_marks(sets: DataFrame) -> bytes:
+    """A bit for each part of the min-hashes' range that two sets fall into: at most ``MARKS / 8`` bytes.
+    A set without its bit shares its min-hash with no other."""
+    mark = F.pmod(F.col("near"), F.lit(MARKS))
+    twice = sets.where("n > 0").groupBy(mark.alias("mark")).count().where("count > 1")
+    word = F.shiftright("mark", 5)
+    words = twice.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(mark & 31 AS int))")).alias("bits"))
+    out = np.zeros(MARKS // 32, "<u4")
+    found = words.toPandas()
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out.tobytes()
+
+
 class _Leader:
-    def __init__(self, row: int, values: np.ndarray):
+    """A set with the sets attached to it; ``tokens`` are the list entries of all of them."""
+
+    def __init__(self, row: int, values: np.ndarray, tokens: np.ndarray):
         self.row, self.values, self.radius = row, values, 0.0
+        self.least = self.most = len(values)
+        self.tokens, self.places = [tokens], [np.arange(len(tokens))]
+        self.held = len(tokens)
+
+    def attach(self, values: np.ndarray, tokens: np.ndarray, distance: float) -> None:
+        self.radius = max(self.radius, distance)
+        self.least, self.most = min(self.least, len(values)), max(self.most, len(values))
+        if distance:
+            self.tokens.append(tokens)
+            self.places.append(np.arange(len(tokens)))
+            self.held += len(tokens)
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and their least places, rarest first."""
+        tokens, places = np.concatenate(self.tokens), np.concatenate(self.places)
+        order = np.lexsort((places, tokens))
+        tokens, places = tokens[order], places[order]
+        new = np.ones(len(tokens), bool)
+        new[1:] = tokens[1:] != tokens[:-1]
+        tokens, places = tokens[new], places[new]
+        order = np.argsort(places, kind="stable")
+        return tokens[order], places[order]
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -130,97 +178,143 @@ def _nearest(active: deque[_Leader], values: np.ndarray, linked: Fraction) -> tu
 
 
 def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
-    """One stored row per set that is not empty: (row, leader, distance, n, radius, tokens).
+    """One stored row per set that is not empty: (row, leader, distance), and for a leader what its list
+    entries need.
 
-    Sets come in order of (min-hash, size), so almost equal ones meet. A range of a hot
-    min-hash is cut between tasks, which makes more leaders and nothing else. Leaders
-    carry the shingles of their prefix, rarest first.
+    Sets that may share their min-hash come in order of (min-hash, size), so almost equal ones
+    meet; the others stay where they are. A range of a hot min-hash is cut between tasks, which makes more
+    leaders and nothing else.
     """
-    frequent = sets.sparkSession.sparkContext.broadcast(frequent_shingles(sets))
-    ordered = sets.where("n > 0").repartitionByRange("near", "n", "row").sortWithinPartitions("near", "n", "row")
+    context = sets.sparkSession.sparkContext
+    frequent, marks = context.broadcast(frequent_shingles(sets)), context.broadcast(_shared_marks(sets))
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefix(values: np.ndarray) -> np.ndarray:
+        """The set's rarest shingles: two linked sets share one of them."""
         hot, times = frequent.value
-        active: deque[_Leader] = deque()
-        out: list[tuple] = []
+        short = values >> _DROPPED
+        at = np.minimum(np.searchsorted(hot, short), max(0, len(hot) - 1))
+        order = short.copy()
+        if len(hot):
+            order += np.where(hot[at] == short, np.minimum(times[at], np.uint64(1 << 22)), np.uint64(0)) << np.uint64(40)
+        length = len(values) - int(np.ceil(float(1 - linked) * len(values) - 1e-9)) + 1
+        if length < len(order):
+            order = np.partition(order, length - 1)[:length]
+        order.sort()
+        return (order & np.uint64((1 << 40) - 1)).astype(np.int64)
+
+    def finish(leader: _Leader) -> tuple:
+        tokens, places = leader.entries()
+        parts = (leader.values >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
+        spread = np.minimum(np.bincount(parts, minlength=PARTS), 65535).astype("<u2").tobytes()
+        return (
+            leader.row, leader.row, 0.0, len(leader.values), leader.least, leader.most, leader.radius,
+            tokens, places.astype(np.int32), spread,
+        )
+
+    def marked(batch: pa.RecordBatch) -> np.ndarray:
+        near = batch.column("near").to_numpy(zero_copy_only=False) % MARKS
+        bits = np.frombuffer(marks.value, "<u4")
+        return (bits[near >> 5] >> (near & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+    def keep_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(batch)))
 
-        def finish(leader: _Leader) -> None:
-            values = leader.values
-            short = values >> _DROPPED
-            at = np.minimum(np.searchsorted(hot, short), max(0, len(hot) - 1))
-            order = short.copy()
-            if len(hot):
-                order += np.where(hot[at] == short, np.minimum(times[at], np.uint64(1 << 22)), np.uint64(0)) << np.uint64(40)
-            order.sort()
-            # the least overlap with a set within the bound leaves this many to look at
-            bound = float(1 - 2 * linked) - leader.radius - 1e-9  # the other one's radius is ``linked`` at most
-            length = len(values) - max(1, int(np.ceil(bound * len(values)))) + 1
-            tokens = (order[:length] & np.uint64((1 << 40) - 1)).astype(np.int64)
-            spread = np.bincount((short >> np.uint64(35)).astype(np.int64), minlength=PARTS)
-            out.append((leader.row, leader.row, 0.0, len(values), leader.radius, tokens, np.minimum(spread, 65535).astype("<u2").tobytes()))
+    def lead_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch, out = batch.filter(pa.array(~marked(batch))), []
+            for row, raw in zip(batch.column("row").to_pylist(), batch.column("shingles"), strict=True):
+                values = _unpacked(raw.as_buffer())
+                out.append(finish(_Leader(row, values, prefix(values))))
+                if len(out) > 2000:
+                    yield _leader_rows(out)
+                    out = []
+            yield _leader_rows(out)
 
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        active: deque[_Leader] = deque()
+        out: list[tuple] = []
         last = None
         for batch in batches:
             for row, near, raw in zip(batch.column("row").to_pylist(), batch.column("near").to_pylist(), batch.column("shingles"), strict=True):
                 values = _unpacked(raw.as_buffer())
                 if near != last:
                     while active:
-                        finish(active.popleft())
+                        out.append(finish(active.popleft()))
                     last = near
                 leader, distance = _nearest(active, values, linked)
                 if leader:
-                    leader.radius = max(leader.radius, distance)
-                    out.append((row, leader.row, distance, len(values), 0.0, None, None))
+                    leader.attach(values, prefix(values) if distance else values[:0], distance)
+                    out.append((row, leader.row, distance, len(values), None, None, 0.0, None, None, None))
+                    if leader.held > HELD:
+                        active.remove(leader)
+                        out.append(finish(leader))
                 else:
-                    active.append(_Leader(row, values))
+                    active.append(_Leader(row, values, prefix(values)))
                     if len(active) > TRIED:
-                        finish(active.popleft())
-                if len(out) > 5000:
+                        out.append(finish(active.popleft()))
+                if len(out) > 2000:
                     yield _leader_rows(out)
                     out = []
-        while active:
-            finish(active.popleft())
+        out += [finish(leader) for leader in active]
         yield _leader_rows(out)
 
-    schema = "row bigint, leader bigint, distance double, n bigint, radius double, tokens array<bigint>, spread binary"
-    return stored(ordered.select("row", "near", "shingles").mapInArrow(lead, schema), "leaders")
+    some = sets.where("n > 0").select("row", "near", "n", "shingles")
+    met = some.mapInArrow(keep_marked, some.schema).repartitionByRange("near", "n", "row").sortWithinPartitions("near", "n", "row")
+    found = some.mapInArrow(lead_alone, LEADERS).unionByName(met.mapInArrow(lead, LEADERS))
+    return stored(found, "leaders")
 
 
 def _leader_rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary()]
-    columns = list(zip(*rows, strict=True)) or [[]] * 7
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        names=["row", "leader", "distance", "n", "radius", "tokens", "spread"],
-    )
-
+    types = [
+        pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(),
+        pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(),
+    ]
+    names = [field.split()[0] for field in LEADERS.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+def _candidates(leaders: DataFrame, linked: Fraction, groups: DataFrame | None, nearby: int) -> DataFrame:
+    """Pairs (a, b), a < b, of leaders that share a list entry, may hold linked sets and are not in one
+    component of ``groups``. A number above 0 asks only for neighbours in some of the lists, in an order that this
+    number and the token make: each list then gives fewer pairs than it has entries.
+    """
+    own = leaders.where("row = leader")
+    if groups is None:
+        own = own.withColumn("root", F.col("row"))
+    else:
+        own = own.join(groups.select(F.col("node").alias("row"), "root"), "row", "left")
+        own = own.withColumn("root", F.coalesce("root", "row"))
+    entries = own.select("row", "root", "least", "most", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))))
+    if nearby:  # a part of the lists is enough to connect most of what is linked
+        entries = entries.where(F.pmod(F.xxhash64("token"), F.lit(LISTS)) == nearby % LISTS)
+    columns = ["token", "row", "root", "least", "most", "place"]
+    order = F.xxhash64("row", F.lit(nearby), F.pmod(F.col("token"), F.lit(ORDERS))) if nearby else F.col("least")
+    lists = entries.repartition("token").sortWithinPartitions("token", order, "row").select(*columns)
+    similar = float(1 - linked)
 
-def _candidates(leaders: DataFrame, linked: Fraction) -> DataFrame:
-    """Pairs (a, b), a < b, of leaders that share a list entry and may lie within the bound."""
-    entries = leaders.where("row = leader").select("row", "n", "radius", F.posexplode("tokens").alias("place", "token"))
-    lists = entries.repartition("token").sortWithinPartitions("token", "n", "row")
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "row", "n", "radius", "place")]
+            now = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
             kept = now if kept is None else [np.concatenate(x) for x in zip(kept, now, strict=True)]
             whole = int(np.searchsorted(kept[0], kept[0][-1])) if len(kept[0]) else 0  # the last list may go on
-            yield from _listed_pairs(*[x[:whole] for x in kept], float(linked))
+            yield from _listed_pairs(*[x[:whole] for x in kept], similar, nearby > 0)
             kept = [x[whole:] for x in kept]
         if kept is not None:
-            yield from _listed_pairs(*kept, float(linked))
+            yield from _listed_pairs(*kept, similar, nearby > 0)
 
-    columns = ("token", "row", "n", "radius", "place")
-    pairs = lists.select(*columns).mapInArrow(search, "a bigint, b bigint").distinct()
-    known = leaders.where("row = leader")
-    side = lambda s: known.select(*[F.col(c).alias(f"{c}_{s}") for c in ("row", "n", "radius", "spread")])
+    by_row = lists.mapInArrow(search, "a bigint, partners array<bigint>").repartition("a").sortWithinPartitions("a")
+    pairs = by_row.mapInArrow(_once, "a bigint, b bigint")
+    side = lambda s: own.select(*[F.col(c).alias(f"{c}_{s}") for c in ("row", "n", "radius", "spread")])
     joined = pairs.join(side("a"), F.col("a") == F.col("row_a")).join(side("b"), F.col("b") == F.col("row_b"))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sets differ at least by what their counts in the parts of the hash range differ."""
         for batch in batches:
             n_a, n_b, r_a, r_b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b", "radius_a", "radius_b"))
-            counts = [np.array([np.frombuffer(x.as_buffer(), "<u2") for x in batch.column(c)], np.int64).reshape(-1, PARTS) for c in ("spread_a", "spread_b")]
+            counts = [np.frombuffer(b"".join(x.as_buffer() for x in batch.column(c)), "<u2").astype(np.int64).reshape(-1, PARTS) for c in ("spread_a", "spread_b")]
             differ = np.abs(counts[0] - counts[1]).sum(1)
             far = float(linked) + r_a + r_b + 1e-9
             fits = pa.array(differ <= far * (n_a + n_b) / (2 - far))
@@ -230,38 +324,93 @@ def _candidates(leaders: DataFrame, linked: Fraction) -> DataFrame:
     return joined.select(*wanted).mapInArrow(sift, "a bigint, b bigint")
 
 
-def _listed_pairs(token, row, n, radius, place, linked: float) -> Iterator[pa.RecordBatch]:
-    loosest = 1 - 3 * linked - 1e-9
-    first, held, count = np.arange(len(token)), [], 0
-    step = 0
-    while len(first):
-        step += 1
-        first = first[first + step < len(token)]
-        other = first + step
-        # lists are sorted by size: past one block that is too large, all are
-        open_ = (token[first] == token[other]) & (n[first] >= loosest * n[other])
-        first, other = first[open_], other[open_]
-        bound = 1 - linked - radius[first] - radius[other] - 1e-9
-        overlap = np.minimum(n[first] - place[first], n[other] - place[other])
-        fits = (n[first] >= bound * n[other]) & (overlap >= bound / (1 + bound) * (n[first] + n[other]))
-        a, b = row[first[fits]], row[other[fits]]
-        if len(a):
-            held.append(np.stack((np.minimum(a, b), np.maximum(a, b)), 1))
-            count += len(a)
-        if held and (count > 500_000 or not len(first)):
-            yield _pair_rows(held)
-            held, count = [], 0
+def _listed_pairs(token, row, root, least, most, place, similar: float, nearby: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of entries of one list. Lists come one after the other, sorted by least set size."""
+    left = most - place  # shingles from the entry on
+    need = similar / (1 + similar) - 1e-9  # of both sizes: the overlap of linked sets
+
+    def fits(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        sizes = (most[i] >= (similar - 1e-9) * least[j]) & (most[j] >= (similar - 1e-9) * least[i])
+        return sizes & (np.minimum(left[i], left[j]) >= need * (least[i] + least[j])) & (root[i] != root[j])
+
+    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(token))
+    if nearby:
+        i = np.flatnonzero(token[1:] == token[:-1])
+        yield _pair_rows([_ordered(row, i[ok], i[ok] + 1) for ok in [fits(i, i + 1)]])
+        return
+    held, count = [], 0
+    short = ends - starts <= BLOCK
+    for step in range(1, BLOCK):  # short lists together, by the distance of their entries
+        i = np.flatnonzero(token[step:] == token[:-step])
+        if not len(i):
+            break
+        i = i[short[np.searchsorted(starts, i, "right") - 1]]
+        ok = fits(i, i + step)
+        held.append(_ordered(row, i[ok], i[ok] + step))
+        count += int(ok.sum())
+    for start, end in zip(starts[~short].tolist(), ends[~short].tolist(), strict=True):
+        for first in range(start, end, BLOCK):
+            last = min(first + BLOCK, end)
+            inside = np.arange(first, last)
+            # entries up to this block whose sets could be large enough, with enough left behind both places
+            before = np.arange(start, last)
+            low = least[first]
+            may = (most[before] >= (similar - 1e-9) * low) & (np.minimum(left[before], left[inside].max()) >= need * (least[before] + low))
+            if (root[inside] == root[first]).all():
+                may &= root[before] != root[first]
+            before = before[may]
+            for part in range(0, len(before), 4096):
+                i, j = (x.ravel() for x in np.meshgrid(before[part : part + 4096], inside, indexing="ij"))
+                ok = (i < j) & fits(i, j)
+                held.append(_ordered(row, i[ok], j[ok]))
+                count += int(ok.sum())
+                if count > 500_000:
+                    yield _pair_rows(held)
+                    held, count = [], 0
     if held:
         yield _pair_rows(held)
 
 
-def _pair_rows(held: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.concatenate(held)
+def _ordered(row: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.stack((np.minimum(row[i], row[j]), np.maximum(row[i], row[j])), 1)
+
+
+def _different(pairs: np.ndarray) -> np.ndarray:
+    """The pairs in order, each once."""
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
     new = np.ones(len(pairs), bool)
     new[1:] = (pairs[1:] != pairs[:-1]).any(1)
-    pairs = pairs[new & (pairs[:, 0] != pairs[:, 1])]
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    return pairs[new & (pairs[:, 0] != pairs[:, 1])]
+
+
+def _pair_rows(held: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each smaller row of the pairs, with its partners."""
+    pairs = _different(np.concatenate(held))
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] != pairs[:-1, 0]))) if len(pairs) else np.zeros(0, np.int64)
+    partners = pa.ListArray.from_arrays(pa.array(np.append(first, len(pairs)), pa.int32()), pa.array(pairs[:, 1]))
+    return pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), partners], names=["a", "partners"])
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of rows that come in order of ``a``, each once; lists share many pairs."""
+
+    def pairs(a: np.ndarray, partners: pa.Array) -> pa.RecordBatch:
+        sizes = pa.compute.list_value_length(partners).to_numpy(zero_copy_only=False)
+        both = np.stack((np.repeat(a, sizes), partners.flatten().to_numpy(zero_copy_only=False)), 1) if len(a) else np.zeros((0, 2), np.int64)
+        found = _different(both)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    kept = None
+    for batch in batches:
+        kept = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+        a = kept.column("a").to_numpy()
+        whole = int(np.searchsorted(a, a[-1])) if len(a) else 0  # more rows of the last one may come
+        if whole:
+            yield pairs(a[:whole], kept.column("partners").slice(0, whole).combine_chunks())
+            kept = kept.slice(whole).combine_chunks()
+    if kept is not None:
+        yield pairs(kept.column("a").to_numpy(), kept.column("partners").combine_chunks())
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -331,10 +480,12 @@ def near_components(
     linked = 1 - similarity
     sets = shingle_sets(docs, k, doc_id, text)
     leaders = _leaders(sets, linked)
-    compared = _compared(_candidates(leaders, linked), sets)
     is_link = f"common * {similarity.denominator} >= joint * {similarity.numerator}"
-    links = compared.where(is_link).select("a", "b")
-    groups = components(links)
+    groups = None
+    for nearby in [*range(1, ROUNDS + 1), 0]:
+        compared = _compared(_candidates(leaders, linked, groups, nearby), sets)
+        found = compared.where(is_link).select("a", "b")
+        groups = merged(groups, found)
     radii = leaders.where("row = leader AND radius > 0").select(F.col("row").alias("r_row"), "radius")
     open_ = (
         compared.where(f"NOT {is_link}")
@@ -351,8 +502,7 @@ def near_components(
         if open_.isEmpty():
             break
         more = _member_links(open_, leaders, sets, linked, is_link, both)
-        links = stored(links.unionByName(more), "links")
-        groups = components(links)
+        groups = merged(groups, more)
     rows = sets.select("row", "doc_id", "n").join(leaders.select("row", "leader"), "row", "left")
     rows = rows.join(groups.withColumnRenamed("node", "leader"), "leader", "left")
     rows = stored(rows.select("doc_id", "n", F.coalesce("root", "leader", "row").alias("group")), "groups")
