@@ -11,6 +11,8 @@ a neighbour in each of its lists only, and pairs that are connected by then are
 size and cut into blocks. A block is skipped by an entry where the sizes in the block, or the shingles that are left
 behind the entries' positions, cannot give the needed overlap; single entries are then tested likewise. A
 pair that is left is ruled out next where the counts of both sets in the parts of the hash range differ too much.
+Pairs travel by *cells*, the pairs between two blocks of sets that share lists: a cell is one row with all its pairs,
+and a set comes to it once, whatever the number of its pairs there. What a cell has connected is not compared again.
 
 Leaders and index are only ways to find links: two linked sets share one of the shingles that each of them has
 put into the lists, so every link between different sets is found whatever the leaders are. Sets are counted and
@@ -44,7 +46,10 @@ ORDERS = 4  # of a round's lists
 BLOCK = 64  # entries of a list that are skipped together
 TRIED = 8  # leaders a set is compared with; only the number of leaders depends on it
 HOT = 1 << 20  # shingles counted as frequent; only the order of shingles depends on it
-BROADCAST_ROWS = 2_000_000  # of 8 bytes
+BROADCAST_ROWS = 500_000  # of 24 bytes
+BLOCK_SETS = 256  # in a block of sets, about
+BLOCK_SHINGLES = 1 << 17  # of its sets, about
+CELLS = "c bigint, d bigint, a array<bigint>, b array<bigint>, u array<bigint>, v array<bigint>, far array<double>"
 SETS = "row bigint, doc_id bigint, n bigint, near bigint, shingles binary"
 _DROPPED = np.uint64(24)  # bits of a hash that index entries leave out
 PARTS = 32  # of the range of hashes, for the counts that rule pairs out
@@ -275,21 +280,52 @@ def _leader_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _candidates(leaders: DataFrame, linked: Fraction, groups: DataFrame | None, nearby: int) -> DataFrame:
-    """Pairs (a, b), a < b, of leaders that share a list entry, may hold linked sets and are not in one
+def _blocks(leaders: DataFrame) -> DataFrame:
+    """One stored row per set that may be compared: (row, leader, distance, block). Sets whose leaders meet the same
+    leader first in some of the lists are in one block, cut by a hash where it is large. Only the cost of bringing
+    pairs together depends on it."""
+    entries = leaders.where("row = leader").select("row", F.explode("tokens").alias("token"))
+    entries = entries.where(F.pmod(F.xxhash64("token"), F.lit(LISTS)) == 0)
+    lists = entries.repartition("token").sortWithinPartitions("token", "row")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = low = None
+        for batch in batches:
+            row, token = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "token"))
+            if not len(row):
+                continue
+            new = np.concatenate(([token[0] != last], token[1:] != token[:-1]))
+            start = np.maximum.accumulate(np.where(new, np.arange(len(row)), -1))
+            lows = np.where(start >= 0, row[start], 0 if low is None else low)
+            last, low = token[-1], lows[-1]
+            later = lows != row
+            yield pa.RecordBatch.from_arrays([pa.array(row[later]), pa.array(lows[later])], names=["leader", "low"])
+
+    lowest = lists.mapInArrow(first, "leader bigint, low bigint").groupBy("leader").agg(F.min("low").alias("low"))
+    sets = leaders.where("row = leader OR distance > 0").select("row", "leader", "distance", "n")
+    sets = sets.join(lowest, "leader", "left").withColumn("low", F.coalesce("low", "leader"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES))
+    large = sets.groupBy("low").agg(parts.alias("parts")).where("parts > 1")
+    cut = F.xxhash64("low", F.pmod(F.xxhash64("row"), F.col("parts")))
+    block = F.when(F.col("parts").isNull(), F.col("low")).otherwise(cut)
+    return stored(sets.join(large, "low", "left").select("row", "leader", "distance", block.alias("block")), "blocks")
+
+
+def _candidates(leaders: DataFrame, blocks: DataFrame, linked: Fraction, groups: DataFrame | None, nearby: int) -> DataFrame:
+    """Cells of the pairs of leaders that share a list entry, may hold linked sets and are not in one
     component of ``groups``. A number above 0 asks only for neighbours in some of the lists, in an order that this
-    number and the token make: each list then gives fewer pairs than it has entries.
+    number and the token make, and for links of the leaders themselves: each list then gives fewer pairs than it has entries.
     """
-    own = leaders.where("row = leader")
+    own = leaders.where("row = leader").join(blocks.select("row", "block"), "row")
     if groups is None:
         own = own.withColumn("root", F.col("row"))
     else:
         own = own.join(groups.select(F.col("node").alias("row"), "root"), "row", "left")
         own = own.withColumn("root", F.coalesce("root", "row"))
-    entries = own.select("row", "root", "least", "most", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))))
+    entries = own.select("row", "root", "least", "most", "block", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))))
     if nearby:  # a part of the lists is enough to connect most of what is linked
         entries = entries.where(F.pmod(F.xxhash64("token"), F.lit(LISTS)) == nearby % LISTS)
-    columns = ["token", "row", "root", "least", "most", "place"]
+    columns = ["token", "row", "root", "least", "most", "place", "block"]
     order = F.xxhash64("row", F.lit(nearby), F.pmod(F.col("token"), F.lit(ORDERS))) if nearby else F.col("least")
     lists = entries.repartition("token").sortWithinPartitions("token", order, "row").select(*columns)
     similar = float(1 - linked)
@@ -305,27 +341,73 @@ def _candidates(leaders: DataFrame, linked: Fraction, groups: DataFrame | None,
         if kept is not None:
             yield from _listed_pairs(*kept, similar, nearby > 0)
 
-    by_row = lists.mapInArrow(search, "a bigint, partners array<bigint>").repartition("a").sortWithinPartitions("a")
-    pairs = by_row.mapInArrow(_once, "a bigint, b bigint")
-    side = lambda s: own.select(*[F.col(c).alias(f"{c}_{s}") for c in ("row", "n", "radius", "spread")])
-    joined = pairs.join(side("a"), F.col("a") == F.col("row_a")).join(side("b"), F.col("b") == F.col("row_b"))
+    found = lists.mapInArrow(search, "c bigint, d bigint, a array<bigint>, b array<bigint>")
+    met = found.repartition("c", "d").sortWithinPartitions("c", "d").mapInArrow(_once, CELLS)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sets differ at least by what their counts in the parts of the hash range differ."""
-        for batch in batches:
-            n_a, n_b, r_a, r_b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b", "radius_a", "radius_b"))
-            counts = [np.frombuffer(b"".join(x.as_buffer() for x in batch.column(c)), "<u2").astype(np.int64).reshape(-1, PARTS) for c in ("spread_a", "spread_b")]
-            differ = np.abs(counts[0] - counts[1]).sum(1)
-            far = float(linked) + r_a + r_b + 1e-9
-            fits = pa.array(differ <= far * (n_a + n_b) / (2 - far))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(fits) for c in ("a", "b")], names=["a", "b"])
+        left: tuple[list, ...] = ([], [], [], [])
+        for key, pairs, known in _brought(batches):
+            rows = np.array(sorted(known), np.int64)
+            n, radius = (np.array([known[r][x] for r in rows.tolist()]) for x in (0, 1))
+            counts = np.frombuffer(b"".join(known[r][2] for r in rows.tolist()), "<u2").astype(np.int32).reshape(-1, PARTS)
+            i, j = (np.searchsorted(rows, pairs[side]) for side in ("a", "b"))
+            differ = np.concatenate([np.abs(counts[i[x : x + 8192]] - counts[j[x : x + 8192]]).sum(1) for x in range(0, len(i), 8192)])
+            far = float(linked) + (0 if nearby else radius[i] + radius[j]) + np.full(len(i), 1e-9)
+            fits = differ <= far * (n[i] + n[j]) / (2 - far)
+            if fits.any():
+                for x, y in zip(left, (key, pairs["a"][fits], pairs["b"][fits], far[fits]), strict=True):
+                    x.append(y)
+            if len(left[0]) >= 500:
+                yield _cell_rows(*left)
+                left = ([], [], [], [])
+        yield _cell_rows(*left)
+
+    cells = stored(met, "met")
+    facts = own.select("row", "n", "radius", F.col("spread").alias("value"))
+    return _meeting(cells, facts).mapInArrow(sift, CELLS)
+
+
+def _cell_rows(keys: list[tuple[int, int]], a: list[np.ndarray], b: list[np.ndarray], far: list[np.ndarray] | None = None) -> pa.RecordBatch:
+    """Cells of pairs (a, b) that stand for themselves."""
+    listed = lambda x, kind: pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x) if x else [], kind)
+    )
+    empty = lambda kind: pa.nulls(len(keys), pa.list_(kind))
+    columns = [
+        pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), listed(a, pa.int64()), listed(b, pa.int64()),
+        empty(pa.int64()), empty(pa.int64()), empty(pa.float64()) if far is None else listed(far, pa.float64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in CELLS.split(", ")])
 
-    wanted = ["a", "b", *[f"{c}_{s}" for s in ("a", "b") for c in ("n", "radius", "spread")]]
-    return joined.select(*wanted).mapInArrow(sift, "a bigint, b bigint")
 
+def _meeting(cells: DataFrame, facts: DataFrame) -> DataFrame:
+    """For :func:`_brought`: each cell, then the facts (row, n, radius, value) of each set that its pairs name, once."""
+    wanted = stored(cells.select("c", "d", F.explode(F.array_distinct(F.concat("a", "b"))).alias("row")), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    both = facts.join(wanted, "row").unionByName(cells, allowMissingColumns=True)
+    return both.repartition("c", "d").sortWithinPartitions("c", "d", "row")
 
-def _listed_pairs(token, row, root, least, most, place, similar: float, nearby: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of entries of one list. Lists come one after the other, sorted by least set size."""
+
+def _brought(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], dict, dict]]:
+    """Each cell with the columns of its pairs, and the facts of their sets by row."""
+    key, pairs, known = None, {}, {}
+    for batch in batches:
+        now = zip(*(batch.column(c).to_pylist() for c in ("c", "d", "row", "n", "radius")), strict=True)
+        for at, (c, d, row, n, radius) in enumerate(now):
+            if row is None:  # comes first
+                if key is not None:
+                    yield key, pairs, known
+                lists = {x: batch.column(x)[at].values for x in ("a", "b", "u", "v", "far")}
+                key, pairs, known = (c, d), {x: None if v is None else v.to_numpy() for x, v in lists.items()}, {}
+            else:
+                known[row] = (n, radius, batch.column("value")[at].as_buffer())
+    if key is not None:
+        yield key, pairs, known
+
+
+def _listed_pairs(token, row, root, least, most, place, block, similar: float, nearby: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of entries of one list, by cells. Lists come one after the other, sorted by least set size."""
     left = most - place  # shingles from the entry on
     need = similar / (1 + similar) - 1e-9  # of both sizes: the overlap of linked sets
 
@@ -337,7 +419,7 @@ def _listed_pairs(token, row, root, least, most, place, similar: float, nearby:
     ends = np.append(starts[1:], len(token))
     if nearby:
         i = np.flatnonzero(token[1:] == token[:-1])
-        yield _pair_rows([_ordered(row, i[ok], i[ok] + 1) for ok in [fits(i, i + 1)]])
+        yield _pair_rows([_ordered(row, block, i[ok], i[ok] + 1) for ok in [fits(i, i + 1)]])
         return
     held, count = [], 0
     short = ends - starts <= BLOCK
@@ -347,7 +429,7 @@ def _listed_pairs(token, row, root, least, most, place, similar: float, nearby:
             break
         i = i[short[np.searchsorted(starts, i, "right") - 1]]
         ok = fits(i, i + step)
-        held.append(_ordered(row, i[ok], i[ok] + step))
+        held.append(_ordered(row, block, i[ok], i[ok] + step))
         count += int(ok.sum())
     for start, end in zip(starts[~short].tolist(), ends[~short].tolist(), strict=True):
         for first in range(start, end, BLOCK):
@@ -363,7 +445,7 @@ def _listed_pairs(token, row, root, least, most, place, similar: float, nearby:
             for part in range(0, len(before), 4096):
                 i, j = (x.ravel() for x in np.meshgrid(before[part : part + 4096], inside, indexing="ij"))
                 ok = (i < j) & fits(i, j)
-                held.append(_ordered(row, i[ok], j[ok]))
+                held.append(_ordered(row, block, i[ok], j[ok]))
                 count += int(ok.sum())
                 if count > 500_000:
                     yield _pair_rows(held)
@@ -372,69 +454,97 @@ def _listed_pairs(token, row, root, least, most, place, similar: float, nearby:
         yield _pair_rows(held)
 
 
-def _ordered(row: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    return np.stack((np.minimum(row[i], row[j]), np.maximum(row[i], row[j])), 1)
+def _ordered(row: np.ndarray, block: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The pairs with the two blocks of their cells."""
+    return np.stack([f(x[i], x[j]) for x in (block, row) for f in (np.minimum, np.maximum)], 1)
 
 
 def _different(pairs: np.ndarray) -> np.ndarray:
-    """The pairs in order, each once."""
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    """The rows in order, each once; pairs of a set with itself go."""
+    pairs = pairs[np.lexsort(pairs.T[::-1])]
     new = np.ones(len(pairs), bool)
     new[1:] = (pairs[1:] != pairs[:-1]).any(1)
-    return pairs[new & (pairs[:, 0] != pairs[:, 1])]
+    return pairs[new & (pairs[:, -2] != pairs[:, -1])]
 
 
 def _pair_rows(held: list[np.ndarray]) -> pa.RecordBatch:
-    """One row for each smaller row of the pairs, with its partners."""
+    """One row for each cell of the pairs."""
     pairs = _different(np.concatenate(held))
-    first = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] != pairs[:-1, 0]))) if len(pairs) else np.zeros(0, np.int64)
-    partners = pa.ListArray.from_arrays(pa.array(np.append(first, len(pairs)), pa.int32()), pa.array(pairs[:, 1]))
-    return pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), partners], names=["a", "partners"])
+    first = np.flatnonzero(np.concatenate(([True], (pairs[1:, :2] != pairs[:-1, :2]).any(1)))) if len(pairs) else np.zeros(0, np.int64)
+    ends = pa.array(np.append(first, len(pairs)), pa.int32())
+    listed = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(pairs[:, x]))) for x in (2, 3)]
+    return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pairs[first, x])) for x in (0, 1)), *listed], names=["c", "d", "a", "b"])
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of rows that come in order of ``a``, each once; lists share many pairs."""
+    """The rows of one cell, which come together, as one row with each pair once; lists share many pairs."""
+    now, held, count = None, [], 0
+    done: tuple[list, list, list] = ([], [], [])
+    for batch in batches:
+        a, b = batch.column("a"), batch.column("b")
+        for at, key in enumerate(zip(batch.column("c").to_pylist(), batch.column("d").to_pylist(), strict=True)):
+            if key != now:
+                if held:
+                    for x, y in zip(done, (now, *_different(np.concatenate(held)).T), strict=True):
+                        x.append(y)
+                now, held, count = key, [], 0
+                if len(done[0]) >= 500:
+                    yield _cell_rows(*done)
+                    done = ([], [], [])
+            held.append(np.stack((a[at].values.to_numpy(), b[at].values.to_numpy()), 1))
+            count += len(held[-1])
+            if count > 1_000_000:
+                held, count = [_different(np.concatenate(held))], 0
+    if held:
+        for x, y in zip(done, (now, *_different(np.concatenate(held)).T), strict=True):
+            x.append(y)
+    yield _cell_rows(*done)
 
-    def pairs(a: np.ndarray, partners: pa.Array) -> pa.RecordBatch:
-        sizes = pa.compute.list_value_length(partners).to_numpy(zero_copy_only=False)
-        both = np.stack((np.repeat(a, sizes), partners.flatten().to_numpy(zero_copy_only=False)), 1) if len(a) else np.zeros((0, 2), np.int64)
-        found = _different(both)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    kept = None
-    for batch in batches:
-        kept = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
-        a = kept.column("a").to_numpy()
-        whole = int(np.searchsorted(a, a[-1])) if len(a) else 0  # more rows of the last one may come
-        if whole:
-            yield pairs(a[:whole], kept.column("partners").slice(0, whole).combine_chunks())
-            kept = kept.slice(whole).combine_chunks()
-    if kept is not None:
-        yield pairs(kept.column("a").to_numpy(), kept.column("partners").combine_chunks())
-
-
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with their sets compared: (a, b, common, joint), joint being the union's size. Stored."""
-    pairs = stored(pairs, "pairs")
-    ids = stored(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    used = sets.select("row", "shingles").join(ids, "row", "left_semi")
-    joined = pairs.join(used.select(F.col("row").alias("a"), F.col("shingles").alias("set_a")), "a")
-    joined = joined.join(used.select(F.col("row").alias("b"), F.col("shingles").alias("set_b")), "b")
+def _compared(cells: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs of the cells with their sets compared: (a, b, common, joint), joint being the union's size. Stored.
+    Pairs farther apart than their ``far`` are left out, and those that links of their cell connect: of the
+    links, as many stay as connect the same sets. Where ``u`` and ``v`` are given, a pair stands for these two.
+    """
+    cells = stored(cells, "pairs")
+    none = F.lit(None)
+    facts = sets.select("row", none.cast("bigint").alias("n"), none.cast("double").alias("radius"), F.col("shingles").alias("value"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                _distance(_unpacked(a.as_buffer()), _unpacked(b.as_buffer()))
-                for a, b in zip(batch.column("set_a"), batch.column("set_b"), strict=True)
-            ]
-            common, union = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(union, pa.int64())],
-                names=["a", "b", "common", "joint"],
-            )
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found, strict=True))[:4] if found else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b", "common", "joint"])
 
-    return stored(joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint, common bigint, joint bigint"), "compared")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for _, pairs, known in _brought(batches):
+            roots: dict[int, int] = {}
+
+            def root(x: int, roots: dict[int, int] = roots) -> int:
+                while (up := roots.get(x, x)) != x:
+                    roots[x] = x = roots.get(up, up)
+                return x
+
+            values = {row: _unpacked(fact[2]) for row, fact in known.items()}
+            a, b = pairs["a"].tolist(), pairs["b"].tolist()
+            u, v = (a, b) if pairs["u"] is None else (pairs["u"].tolist(), pairs["v"].tolist())
+            out = []
+            for i, far in enumerate(pairs["far"].tolist()):
+                low, high = root(u[i]), root(v[i])
+                if low == high:
+                    continue
+                common, union = _distance(values[a[i]], values[b[i]])
+                is_link = common * similarity.denominator >= union * similarity.numerator
+                if is_link:
+                    roots[low] = high
+                if is_link or union - common <= far * union:
+                    out.append((u[i], v[i], common, union, is_link))
+            held += [x for x in out if x[4] or root(x[0]) != root(x[1])]
+            if len(held) > 2000:
+                yield rows(held)
+                held = []
+        yield rows(held)
+
+    return stored(_meeting(cells, facts).mapInArrow(compare, "a bigint, b bigint, common bigint, joint bigint"), "compared")
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -444,26 +554,27 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return joined.where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b", "gap")
 
 
-def _member_links(
-    open_: DataFrame, leaders: DataFrame, sets: DataFrame, linked: Fraction, is_link: str, both: bool
-) -> DataFrame:
+def _member_links(open_: DataFrame, blocks: DataFrame, sets: DataFrame, similarity: Fraction, both: bool) -> DataFrame:
     """Links between members of open pairs, as links (a, b) of their leaders. With ``both`` two
     members are compared, else a member and the other leader."""
-    member = leaders.where("row != leader").select("leader", "row", "distance")
-    side = lambda s: member.select(F.col("leader").alias(s), F.col("row").alias(f"m{s}"), F.col("distance").alias(f"d{s}"))
-    near = float(linked) + 1e-9
+    member = blocks.where("row != leader")
+    side = lambda s: member.select(*[F.col(c).alias(f"{to}{s}") for c, to in (("leader", ""), ("row", "m"), ("distance", "d"), ("block", "c"))])
+    own = lambda s: blocks.where("row = leader").select(F.col("row").alias(s), F.col("row").alias(f"m{s}"), F.col("block").alias(f"c{s}"))
+    near = float(1 - similarity) + 1e-9
+    wanted = ["a", "b", "ma", "mb", "ca", "cb"]
     if both:
-        pairs = open_.join(side("a"), "a").join(side("b"), "b").where(f"gap - da - db <= {near}").select("a", "b", "ma", "mb")
+        pairs = open_.join(side("a"), "a").join(side("b"), "b").where(f"gap - da - db <= {near}").select(wanted)
     else:
-        one = open_.join(side("a"), "a").where(f"gap - da <= {near}").select("a", "b", "ma", F.col("b").alias("mb"))
-        pairs = one.unionByName(
-            open_.join(side("b"), "b").where(f"gap - db <= {near}").select("a", "b", F.col("a").alias("ma"), "mb")
-        )
-    pairs = stored(pairs, "members")
-    wanted = pairs.select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct()
-    found = _compared(wanted, sets).where(is_link).select(F.col("a").alias("low"), F.col("b").alias("high"))
-    same = (F.least("ma", "mb") == F.col("low")) & (F.greatest("ma", "mb") == F.col("high"))
-    return pairs.join(found, same).select("a", "b").distinct()
+        one = open_.join(side("a"), "a").where(f"gap - da <= {near}").join(own("b"), "b").select(wanted)
+        pairs = one.unionByName(open_.join(side("b"), "b").where(f"gap - db <= {near}").join(own("a"), "a").select(wanted))
+    pair = F.struct(F.col("ma").alias("a"), F.col("mb").alias("b"), F.col("a").alias("u"), F.col("b").alias("v"), F.lit(near).alias("far"))
+    cells = pairs.groupBy(F.col("ca").alias("c"), F.col("cb").alias("d")).agg(F.collect_list(pair).alias("p"))
+    found = _compared(cells.select("c", "d", "p.a", "p.b", "p.u", "p.v", "p.far"), sets, similarity)
+    return found.where(_is_link(similarity)).select("a", "b").distinct()
+
+
+def _is_link(similarity: Fraction) -> str:
+    return f"common * {similarity.denominator} >= joint * {similarity.numerator}"
 
 
 def near_components(
@@ -480,28 +591,21 @@ def near_components(
     linked = 1 - similarity
     sets = shingle_sets(docs, k, doc_id, text)
     leaders = _leaders(sets, linked)
-    is_link = f"common * {similarity.denominator} >= joint * {similarity.numerator}"
+    blocks = _blocks(leaders)
+    is_link = _is_link(similarity)
     groups = None
     for nearby in [*range(1, ROUNDS + 1), 0]:
-        compared = _compared(_candidates(leaders, linked, groups, nearby), sets)
+        compared = _compared(_candidates(leaders, blocks, linked, groups, nearby), sets, similarity)
         found = compared.where(is_link).select("a", "b")
         groups = merged(groups, found)
-    radii = leaders.where("row = leader AND radius > 0").select(F.col("row").alias("r_row"), "radius")
-    open_ = (
-        compared.where(f"NOT {is_link}")
-        .join(radii.select(F.col("r_row").alias("a"), F.col("radius").alias("ra")), "a", "left")
-        .join(radii.select(F.col("r_row").alias("b"), F.col("radius").alias("rb")), "b", "left")
-        .withColumn("gap", 1 - F.col("common") / F.col("joint"))
-        .where(f"gap <= {float(linked)} + coalesce(ra, 0) + coalesce(rb, 0) + 1e-9")
-        .select("a", "b", "gap")
-    )
+    open_ = compared.where(f"NOT {is_link}").select("a", "b", (1 - F.col("common") / F.col("joint")).alias("gap"))
     # First the members of each side against the other side's leader, then, where that
     # has not connected the two, the members of both sides that the bound leaves open.
     for both in (False, True):
         open_ = stored(_apart(open_, groups), "open")
         if open_.isEmpty():
             break
-        more = _member_links(open_, leaders, sets, linked, is_link, both)
+        more = _member_links(open_, blocks, sets, similarity, both)
         groups = merged(groups, more)
     rows = sets.select("row", "doc_id", "n").join(leaders.select("row", "leader"), "row", "left")
     rows = rows.join(groups.withColumnRenamed("node", "leader"), "leader", "left")

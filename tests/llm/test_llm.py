@@ -32,6 +32,7 @@ from driftspark.llm import (  # noqa: E402
     tokens,
 )
 from driftspark.llm.catalog import ORACLE  # noqa: E402
+from driftspark.llm.common import stored  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
@@ -256,6 +257,33 @@ def test_components_of_chains_and_crowds(spark, k, similarity):
     assert got == brute_components(rows, k, similarity)
 
 
+@pytest.mark.parametrize("size", [256, 7])
+def test_close_sets_that_are_not_linked_make_no_row_per_pair(spark, monkeypatch, size):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(90):  # each is its own component, except for the copies of some of them
+        words = [f"w{j}" for j in range(200)]
+        for at in rng.choice(200, 10, replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+        if i % 9 == 0:
+            rows.append((500 + i, " ".join([*words, "end"])))
+    counts = []
+
+    def counted(frame, name):
+        out = stored(frame, name)
+        counts.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", size)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard.near_components(frame, 5, Fraction(4, 5)).collect())
+    assert got == brute_components(rows, 5, Fraction(4, 5))
+    assert {"pairs", "compared"} <= {name for name, _ in counts}
+    assert max(n for _, n in counts) < (500 if size == 256 else 2000)  # of 4,005 pairs
+
+
 def test_sets_keep_shingles_that_agree_in_40_bits():
     low, high, offsets = 5 << 24, (9 << 24) + 1, np.array([0, 4, 4, 6])
     keys, counts = jaccard._sets(np.array([high, low, low + 1, low, low + 1, low + 2], np.uint64), offsets)
