@@ -10,7 +10,8 @@ a neighbour in each of its lists only, and pairs that are connected by then are
 *Skipping in the index*: the rarest shingles of the leaders' sets are index lists, sorted by set
 size and cut into blocks. A block is skipped by an entry where the sizes in the block, or the shingles that are left
 behind the entries' positions, cannot give the needed overlap; single entries are then tested likewise. A
-pair that is left is ruled out next where the counts of both sets in the parts of the hash range differ too much.
+pair that is left is ruled out next where the counts of both sets in the parts of the hash range differ too much; a
+long set has more parts.
 Pairs travel by *cells*, the pairs between two blocks of sets that share lists: a cell is one row with all its pairs,
 and a set comes to it once, whatever the number of its pairs there. What a cell has connected is not compared again.
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftspark.llm.common import chunks, most_frequent, stored
+from driftspark.llm.common import chunks, most_frequent, stored, stored_in_groups
 from driftspark.llm.components import merged
 from driftspark.llm.words import UNBLANK, mix, rolling, words_of
 
@@ -52,7 +53,10 @@ BLOCK_SHINGLES = 1 << 17  # of its sets, about
 CELLS = "c bigint, d bigint, a array<bigint>, b array<bigint>, u array<bigint>, v array<bigint>, far array<double>"
 SETS = "row bigint, doc_id bigint, n bigint, near bigint, shingles binary"
 _DROPPED = np.uint64(24)  # bits of a hash that index entries leave out
-PARTS = 32  # of the range of hashes, for the counts that rule pairs out
+PARTS = 32  # of the range of hashes, at least, for the counts that rule pairs out
+PART_SHINGLES = 2  # of a set in a part, at most, on average: with fixed parts, counts cannot tell long sets apart
+CELL_PAIRS = 1 << 18  # in a batch of cells, about
+ROW_GROUP = 4 << 20  # bytes; a task holds the row group of the sets that it reads
 
 
 def _packed(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -85,7 +89,7 @@ def shingle_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "t
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch, "text", 4 << 20):
+            for chunk in chunks(batch, "text", 1 << 20):
                 hashes, offsets = rolling(words_of(chunk.column("text"), UNBLANK), k)
                 keys, counts = _sets(hashes, offsets)
                 offsets = np.concatenate(([0], np.cumsum(counts)))
@@ -99,7 +103,7 @@ def shingle_sets(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "t
                     names=["row", "doc_id", "n", "near", "shingles"],
                 )
 
-    return stored(rows.mapInArrow(cut, SETS), "sets")
+    return stored_in_groups(rows.mapInArrow(cut, SETS), "sets", ROW_GROUP)
 
 
 def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +113,10 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for chunk in chunks(batch, "shingles", 8 << 20):
                 flat = np.concatenate([_unpacked(r.as_buffer()) for r in chunk.column("shingles")] or [np.zeros(0, np.uint64)])
-                shingle, n = np.unique(flat >> _DROPPED, return_counts=True)
+                flat >>= _DROPPED
+                flat.sort()
+                first = np.flatnonzero(np.concatenate((flat[:1] == flat[:1], flat[1:] != flat[:-1])))
+                shingle, n = flat[first], np.diff(first, append=len(flat))
                 often = n >= 2
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shingle[often].astype(np.int64)), pa.array(n[often])], names=["shingle", "n"]
@@ -163,6 +170,34 @@ class _Leader:
         return tokens[order], places[order]
 
 
+def _spread(values: np.ndarray) -> bytes:
+    """How many of the set's hashes lie in each part of their range, at most 15, two counts to a byte.
+    The number of parts is a power of two that grows with the set."""
+    bits = max(PARTS.bit_length() - 1, (max(0, len(values) - 1) // PART_SHINGLES).bit_length())
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    counts = np.minimum(counts, 15).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes()
+
+
+def _differing(spreads: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each pair (i, j) of sets a number of hashes that at least differ, by their spreads. Of two spreads
+    the finer one is folded to the parts of the other."""
+    size = np.array([len(x) for x in spreads], np.int64)
+    least, out = np.minimum(size[i], size[j]), np.zeros(len(i), np.int64)
+    for parts in np.unique(least).tolist():  # bytes: half the number of parts
+        of = np.flatnonzero(least == parts)
+        used, at = np.unique(np.concatenate((i[of], j[of])), return_inverse=True)
+        counts = np.empty((len(used), 2 * parts), np.int32)
+        for row, which in enumerate(used.tolist()):
+            raw = spreads[which]
+            counts[row] = np.stack((raw & 15, raw >> 4), 1).reshape(2 * parts, -1).sum(1, dtype=np.int32)
+        step = max(1, (1 << 18) // parts)
+        for x in range(0, len(of), step):
+            a, b = at[x : x + step][: len(of) - x], at[len(of) + x : len(of) + x + step]
+            out[of[x : x + step]] = np.abs(counts[a] - counts[b]).sum(1)
+    return out
+
+
 def _distance(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Sizes of the intersection and the union."""
     merged = np.concatenate((a, b))
@@ -209,11 +244,9 @@ def _leaders(sets: DataFrame, linked: Fraction) -> DataFrame:
 
     def finish(leader: _Leader) -> tuple:
         tokens, places = leader.entries()
-        parts = (leader.values >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
-        spread = np.minimum(np.bincount(parts, minlength=PARTS), 65535).astype("<u2").tobytes()
         return (
             leader.row, leader.row, 0.0, len(leader.values), leader.least, leader.most, leader.radius,
-            tokens, places.astype(np.int32), spread,
+            tokens, places.astype(np.int32), _spread(leader.values),
         )
 
     def marked(batch: pa.RecordBatch) -> np.ndarray:
@@ -347,24 +380,26 @@ def _candidates(leaders: DataFrame, blocks: DataFrame, linked: Fraction, groups:
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sets differ at least by what their counts in the parts of the hash range differ."""
         left: tuple[list, ...] = ([], [], [], [])
+        held = 0
         for key, pairs, known in _brought(batches):
             rows = np.array(sorted(known), np.int64)
             n, radius = (np.array([known[r][x] for r in rows.tolist()]) for x in (0, 1))
-            counts = np.frombuffer(b"".join(known[r][2] for r in rows.tolist()), "<u2").astype(np.int32).reshape(-1, PARTS)
+            spreads = [np.frombuffer(known[r][2], np.uint8) for r in rows.tolist()]
             i, j = (np.searchsorted(rows, pairs[side]) for side in ("a", "b"))
-            differ = np.concatenate([np.abs(counts[i[x : x + 8192]] - counts[j[x : x + 8192]]).sum(1) for x in range(0, len(i), 8192)])
+            differ = _differing(spreads, i, j)
             far = float(linked) + (0 if nearby else radius[i] + radius[j]) + np.full(len(i), 1e-9)
             fits = differ <= far * (n[i] + n[j]) / (2 - far)
             if fits.any():
                 for x, y in zip(left, (key, pairs["a"][fits], pairs["b"][fits], far[fits]), strict=True):
                     x.append(y)
-            if len(left[0]) >= 500:
+                held += int(fits.sum())
+            if len(left[0]) >= 500 or held >= CELL_PAIRS:
                 yield _cell_rows(*left)
-                left = ([], [], [], [])
+                left, held = ([], [], [], []), 0
         yield _cell_rows(*left)
 
     cells = stored(met, "met")
-    facts = own.select("row", "n", "radius", F.col("spread").alias("value"))
+    facts = leaders.where("row = leader").select("row", "n", "radius", F.col("spread").alias("value"))
     return _meeting(cells, facts).mapInArrow(sift, CELLS)
 
 
@@ -442,12 +477,12 @@ def _listed_pairs(token, row, root, least, most, place, block, similar: float, n
             if (root[inside] == root[first]).all():
                 may &= root[before] != root[first]
             before = before[may]
-            for part in range(0, len(before), 4096):
-                i, j = (x.ravel() for x in np.meshgrid(before[part : part + 4096], inside, indexing="ij"))
+            for part in range(0, len(before), 1024):
+                i, j = (x.ravel() for x in np.meshgrid(before[part : part + 1024], inside, indexing="ij"))
                 ok = (i < j) & fits(i, j)
                 held.append(_ordered(row, block, i[ok], j[ok]))
                 count += int(ok.sum())
-                if count > 500_000:
+                if count > CELL_PAIRS:
                     yield _pair_rows(held)
                     held, count = [], 0
     if held:
@@ -478,7 +513,7 @@ def _pair_rows(held: list[np.ndarray]) -> pa.RecordBatch:
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of one cell, which come together, as one row with each pair once; lists share many pairs."""
-    now, held, count = None, [], 0
+    now, held, count, waiting = None, [], 0, 0
     done: tuple[list, list, list] = ([], [], [])
     for batch in batches:
         a, b = batch.column("a"), batch.column("b")
@@ -487,13 +522,14 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     for x, y in zip(done, (now, *_different(np.concatenate(held)).T), strict=True):
                         x.append(y)
+                    waiting += len(done[1][-1])
                 now, held, count = key, [], 0
-                if len(done[0]) >= 500:
+                if len(done[0]) >= 500 or waiting >= CELL_PAIRS:
                     yield _cell_rows(*done)
-                    done = ([], [], [])
+                    done, waiting = ([], [], []), 0
             held.append(np.stack((a[at].values.to_numpy(), b[at].values.to_numpy()), 1))
             count += len(held[-1])
-            if count > 1_000_000:
+            if count > CELL_PAIRS:
                 held, count = [_different(np.concatenate(held))], 0
     if held:
         for x, y in zip(done, (now, *_different(np.concatenate(held)).T), strict=True):

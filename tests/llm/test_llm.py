@@ -10,6 +10,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -659,3 +660,29 @@ def test_battery_against_numpy(spark):
         centred = codes - codes.mean()
         serial = abs((centred[1:] * centred[:-1]).sum() / (centred**2).sum()) * math.sqrt(n)
         assert math.isclose(row.serial_z, serial, abs_tol=1e-9)
+
+
+def test_counts_tell_long_sets_apart():
+    rng = np.random.default_rng(7)
+    common = rng.integers(0, 1 << 64, 400, np.uint64)
+    sets = [np.unique(np.concatenate((common, rng.integers(0, 1 << 64, n, np.uint64)))) for n in (10, 900, 7600, 7700, 19000)]
+    sets.append(np.unique(np.concatenate((sets[2][:-300], rng.integers(0, 1 << 64, 350, np.uint64)))))
+    spreads = [np.frombuffer(jaccard._spread(s), np.uint8) for s in sets]
+    i, j = (x.ravel() for x in np.meshgrid(range(len(sets)), range(len(sets))))
+    differ = jaccard._differing(spreads, i, j)
+    exact = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert (differ <= exact).all()  # no link is ruled out
+    at = {pair: n for *pair, n in zip(i.tolist(), j.tolist(), differ.tolist(), strict=True) for pair in [tuple(pair)]}
+    far = 0.5  # of their union: unrelated long sets are farther apart by their counts alone
+    assert at[2, 3] > far * (len(sets[2]) + len(sets[3])) / (2 - far)
+    assert at[2, 5] <= 0.2 * (len(sets[2]) + len(sets[5])) / 1.8
+
+
+def test_batches_of_cells_are_bounded_by_their_pairs():
+    pairs = np.arange(jaccard.CELL_PAIRS // 4, dtype=np.int64)
+    cells = [pa.RecordBatch.from_arrays(
+        [pa.array([c]), pa.array([c]), pa.array([pairs]), pa.array([pairs + 1])], names=["c", "d", "a", "b"]
+    ) for c in range(12)]
+    out = [b.column("a") for b in jaccard._once(iter(cells))]
+    assert sum(len(a.flatten()) for a in out) == 12 * len(pairs)
+    assert max(len(a.flatten()) for a in out) <= jaccard.CELL_PAIRS + len(pairs)
