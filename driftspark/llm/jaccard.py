@@ -349,15 +349,18 @@ def _candidates(leaders: DataFrame, blocks: DataFrame, linked: Fraction, groups:
     component of ``groups``. A number above 0 asks only for neighbours in some of the lists, in an order that this
     number and the token make, and for links of the leaders themselves: each list then gives fewer pairs than it has entries.
     """
-    own = leaders.where("row = leader").join(blocks.select("row", "block"), "row")
+    listed = F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))
+    if nearby:  # a part of the lists is enough to connect most of what is linked; only it meets the blocks
+        listed = F.filter(listed, lambda x: F.pmod(F.xxhash64(x["token"]), F.lit(LISTS)) == nearby % LISTS)
+    own = leaders.where("row = leader").select("row", "least", "most", listed.alias("listed"))
+    where = blocks.where("row = leader").select("row", "block")
     if groups is None:
-        own = own.withColumn("root", F.col("row"))
+        where = where.withColumn("root", F.col("row"))
     else:
-        own = own.join(groups.select(F.col("node").alias("row"), "root"), "row", "left")
-        own = own.withColumn("root", F.coalesce("root", "row"))
-    entries = own.select("row", "root", "least", "most", "block", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))))
-    if nearby:  # a part of the lists is enough to connect most of what is linked
-        entries = entries.where(F.pmod(F.xxhash64("token"), F.lit(LISTS)) == nearby % LISTS)
+        where = where.join(groups.select(F.col("node").alias("row"), "root"), "row", "left")
+        where = where.withColumn("root", F.coalesce("root", "row"))
+    where = F.broadcast(where) if where.count() <= BROADCAST_ROWS else where
+    entries = own.join(where, "row").select("row", "root", "least", "most", "block", F.inline("listed"))
     columns = ["token", "row", "root", "least", "most", "place", "block"]
     order = F.xxhash64("row", F.lit(nearby), F.pmod(F.col("token"), F.lit(ORDERS))) if nearby else F.col("least")
     lists = entries.repartition("token").sortWithinPartitions("token", order, "row").select(*columns)
