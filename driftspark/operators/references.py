@@ -24,6 +24,7 @@ from driftspark.functions.text import (
 # The API columns a hit carries besides the name.
 API_COLUMNS = ("api_path", "api_ordinal", "kind_rank")
 HIT_ORDER = ("kind_rank", "api_path", "api_ordinal")
+LIST_ROWS, LIST_BYTES = 100_000, 32_000_000  # of a search list that every task holds
 
 
 def search_names(changed: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
@@ -60,30 +61,56 @@ def _verified(hits: DataFrame, text: Column) -> DataFrame:
     return hits.filter(is_plain_name(name) | names_whole_word(text, name))
 
 
+def goes_to_the_texts(docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)) -> bool:
+    """True for a search list that can be broadcast, of at most ``LIST_ROWS`` rows and ``LIST_BYTES`` bytes of
+    text, and documents without repeated paths: a line's hits then follow from the line alone."""
+    texts = [F.octet_length(F.coalesce(c, F.lit(""))) for c in ("api_name", "token", "api_path")]
+    size = names.limit(LIST_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)))
+    rows, bytes_ = size.first()
+    if rows > LIST_ROWS or bytes_ > LIST_BYTES:
+        return False
+    keys = [*scope, "path"]
+    return docs.dropna(subset=keys).groupBy(*keys).count().filter("count > 1").isEmpty()
+
+
+def _named(texts: DataFrame, names: DataFrame, text: Column, scope: Sequence[str]) -> DataFrame:
+    """Each text with each API row that it names; the list goes to the texts. The text is only
+    looked at again for names that token equality does not prove."""
+    listed = F.broadcast(names.withColumn("plain", is_plain_name(F.col("api_name"))))
+    tokens = texts.withColumn("token", F.explode(tokens_of(text)))
+    found = tokens.join(listed, [*scope, "token"])
+    return found.filter(F.col("plain") | names_whole_word(text, F.col("api_name")))
+
+
 def find_references(
-    docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)
+    docs: DataFrame,
+    names: DataFrame,
+    scope: Sequence[str] = ("repo",),
+    two_phase: bool | None = None,
 ) -> DataFrame:
     """One row per document line and API row it names, with the line's context.
 
     ``docs`` holds ``scope``, ``path`` and ``content``, one row per path; ``names``
-    comes from :func:`search_names`. Only tokens and line numbers meet the search list;
-    Spark broadcasts the list where its size allows and splits a frequent token's
-    rows otherwise. The text is joined once per document that has a hit, and the
-    context (the line and its neighbours) is cut out of it.
+    comes from :func:`search_names`. The context is the line and its neighbours.
+
+    A list that every task can hold meets the lines where they are read; nothing is shuffled.
+    In two phases, by default for a longer list or repeated paths, only tokens and line numbers meet it;
+    Spark splits a frequent token's rows. The text is then joined once per document that has a hit.
     """
-    lines = docs.select(*scope, "path", F.posexplode(lines_of(F.col("content"))).alias("pos", "line"))
-    tokens = lines.select(*scope, "path", "pos", F.explode(tokens_of(F.col("line"))).alias("token"))
-    hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), ["pos"], scope)
-    around = [F.get("lines", F.col("pos") + step) for step in (-1, 0, 1)]
-    return _verified(hits, F.get("lines", F.col("pos"))).select(
-        *scope,
-        "path",
-        (F.col("pos") + 1).alias("line_no"),
-        F.concat_ws("\n", *around).alias("context"),
-        F.lit("name").alias("reference_type"),
-        "api_name",
-        *API_COLUMNS,
-    )
+    keys = [*scope, "path"]
+    result = ["context", F.lit("name").alias("reference_type"), "api_name", *API_COLUMNS]
+    around = F.concat_ws("\n", *[F.get("lines", F.col("pos") + step) for step in (-1, 0, 1)]).alias("context")
+    number = (F.col("pos") + 1).alias("line_no")
+    if two_phase or (two_phase is None and not goes_to_the_texts(docs, names, scope)):
+        lines = docs.select(*keys, F.posexplode(lines_of(F.col("content"))).alias("pos", "line"))
+        tokens = lines.select(*keys, "pos", F.explode(tokens_of(F.col("line"))).alias("token"))
+        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), ["pos"], scope)
+        proven = _verified(hits, F.get("lines", F.col("pos")))
+        return proven.select(*keys, number, around, "api_name", *API_COLUMNS).select(*keys, "line_no", *result)
+    lined = docs.dropna(subset=keys).select(*keys, lines_of(F.col("content")).alias("lines"))
+    lines = lined.select(*keys, "lines", F.posexplode("lines").alias("pos", "line"))
+    lines = lines.select(*keys, number, "line", around)
+    return _named(lines, names, F.col("line"), scope).select(*keys, "line_no", *result)
 
 
 def code_blocks(docs: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
@@ -95,18 +122,24 @@ def code_blocks(docs: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
 
 
 def find_examples(
-    docs: DataFrame, names: DataFrame, scope: Sequence[str] = ("repo",)
+    docs: DataFrame,
+    names: DataFrame,
+    scope: Sequence[str] = ("repo",),
+    two_phase: bool | None = None,
 ) -> DataFrame:
-    """One row per fenced block and API row it names; the plan is that of the lines."""
+    """One row per fenced block and API row it names; the plans are those of the lines."""
     place = ["language", "start_line", "end_line"]
-    blocks = code_blocks(docs.select(*scope, "path", "content"), scope)
-    tokens = blocks.select(*scope, "path", *place, F.explode(tokens_of(F.col("code"))).alias("token"))
-    hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), place, scope)
-    length = F.col("end_line") - F.col("start_line") + 1
-    code = F.array_join(F.slice("lines", F.col("start_line"), length), "\n")
-    return _verified(hits, code).select(
-        *scope, "path", *place, code.alias("code"), "api_name", *API_COLUMNS
-    )
+    keys = [*scope, "path"]
+    if two_phase is None:
+        two_phase = not goes_to_the_texts(docs, names, scope)
+    blocks = code_blocks(docs.select(*keys, "content"), scope)
+    if two_phase:
+        tokens = blocks.select(*keys, *place, F.explode(tokens_of(F.col("code"))).alias("token"))
+        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), place, scope)
+        length = F.col("end_line") - F.col("start_line") + 1
+        code = F.array_join(F.slice("lines", F.col("start_line"), length), "\n")
+        return _verified(hits, code).select(*keys, *place, code.alias("code"), "api_name", *API_COLUMNS)
+    return _named(blocks.dropna(subset=keys), names, F.col("code"), scope).select(*keys, *place, "code", "api_name", *API_COLUMNS)
 
 
 def missing_docs(

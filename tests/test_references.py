@@ -110,6 +110,40 @@ def test_names_of_other_corpora_do_not_match(spark, docs, changed):
     assert refs.find_references(other, refs.search_names(changed)).count() == 0
 
 
+def as_set(rows):
+    return sorted(map(str, rows.collect()))
+
+
+@pytest.mark.parametrize("find", [refs.find_references, refs.find_examples])
+def test_a_short_list_goes_to_the_texts(spark, docs, changed, find, capsys):
+    names = refs.search_names(changed)
+    found = find(docs, names)
+    found.explain()
+    assert "collect_list" not in capsys.readouterr().out  # no grouping by document, no second reading of the text
+    two = find(docs, names, two_phase=True)
+    assert found.columns == two.columns and as_set(found) == as_set(two) and found.count() > 0
+
+
+@pytest.mark.parametrize("find", [refs.find_references, refs.find_examples])
+def test_repeated_and_missing_paths_are_found_in_two_phases(spark, changed, find):
+    names = refs.search_names(changed)
+    rows = [("r", "o.md", ORBIT), ("r", "o.md", TANKS), ("r", None, ORBIT), (None, "n.md", ORBIT), ("r", "e.md", None)]
+    repeated = spark.createDataFrame(rows, FILES)
+    assert not refs.goes_to_the_texts(repeated, names)
+    assert as_set(find(repeated, names)) == as_set(find(repeated, names, two_phase=True))
+    single = spark.createDataFrame(rows[1:], FILES)
+    assert refs.goes_to_the_texts(single, names)
+    assert as_set(find(single, names)) == as_set(find(single, names, two_phase=True))
+
+
+@pytest.mark.parametrize("limit", ["LIST_ROWS", "LIST_BYTES"])
+def test_a_long_list_does_not_go_to_the_texts(docs, changed, monkeypatch, limit):
+    names = refs.search_names(changed)
+    assert refs.goes_to_the_texts(docs, names)
+    monkeypatch.setattr(refs, limit, 5)
+    assert not refs.goes_to_the_texts(docs, names)
+
+
 def fences_by_hand(text):
     found, start, language = [], None, ""
     lines = text.split("\n")
