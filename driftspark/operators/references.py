@@ -25,6 +25,7 @@ from driftspark.functions.text import (
 API_COLUMNS = ("api_path", "api_ordinal", "kind_rank")
 HIT_ORDER = ("kind_rank", "api_path", "api_ordinal")
 LIST_ROWS, LIST_BYTES = 100_000, 32_000_000  # of a search list that every task holds
+PART_BYTES = 1 << 20  # of documents whose examples are written together
 
 
 def search_names(changed: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFrame:
@@ -40,17 +41,19 @@ def search_names(changed: DataFrame, scope: Sequence[str] = ("repo",)) -> DataFr
 
 
 def _with_texts(
-    docs: DataFrame, hits: DataFrame, where: Sequence[str], scope: Sequence[str]
+    docs: DataFrame, hits: DataFrame, where: Sequence[str], scope: Sequence[str], parts: int = 0
 ) -> DataFrame:
     """Hits (positions only) of each document, joined once to the document's lines.
 
     One row per hit with ``where``, the API columns and ``lines``. A document's hits are
-    bounded by its own lines times the APIs that a line names.
+    bounded by its own lines times the APIs that a line names. With ``parts`` the documents are dealt
+    to as many tasks.
     """
     keys = [*scope, "path"]
     entry = F.struct(*where, "api_name", *API_COLUMNS)
     found = hits.groupBy(*keys).agg(F.collect_list(entry).alias("hits"))
     joined = docs.select(*keys, "content").join(found, keys)
+    joined = joined.repartition(parts, *keys) if parts else joined
     return joined.select(*keys, lines_of(F.col("content")).alias("lines"), "hits").select(
         *keys, "lines", F.inline("hits")
     )
@@ -126,20 +129,35 @@ def find_examples(
     names: DataFrame,
     scope: Sequence[str] = ("repo",),
     two_phase: bool | None = None,
+    small_parts: bool = False,
 ) -> DataFrame:
-    """One row per fenced block and API row it names; the plans are those of the lines."""
+    """One row per fenced block and API row it names; the plans are those of the lines.
+
+    A block's code stands in as many rows as it names APIs. For rows that will be written,
+    ``small_parts`` deals the documents to tasks with about ``PART_BYTES`` of text, so that the
+    dictionary of a file's code column, a megabyte, holds each code once.
+    """
     place = ["language", "start_line", "end_line"]
     keys = [*scope, "path"]
     if two_phase is None:
         two_phase = not goes_to_the_texts(docs, names, scope)
+    parts = _parts(docs) if small_parts else 0
     blocks = code_blocks(docs.select(*keys, "content"), scope)
     if two_phase:
         tokens = blocks.select(*keys, *place, F.explode(tokens_of(F.col("code"))).alias("token"))
-        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), place, scope)
+        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), place, scope, parts)
         length = F.col("end_line") - F.col("start_line") + 1
         code = F.array_join(F.slice("lines", F.col("start_line"), length), "\n")
         return _verified(hits, code).select(*keys, *place, code.alias("code"), "api_name", *API_COLUMNS)
-    return _named(blocks.dropna(subset=keys), names, F.col("code"), scope).select(*keys, *place, "code", "api_name", *API_COLUMNS)
+    blocks = blocks.dropna(subset=keys)
+    dealt = blocks.repartition(parts, *keys) if parts else blocks
+    return _named(dealt, names, F.col("code"), scope).select(*keys, *place, "code", "api_name", *API_COLUMNS)
+
+
+def _parts(docs: DataFrame) -> int:
+    """Number of parts with about ``PART_BYTES`` of text."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0))).first()[0]
+    return max(1, -(-size // PART_BYTES))
 
 
 def missing_docs(

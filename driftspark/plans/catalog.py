@@ -381,7 +381,7 @@ def code_examples(spark, sf_dir):
     """Fenced blocks that name an API."""
     _, names = _search(spark, sf_dir)
     docs = b.markdown_docs(spark, sf_dir).select("repo", "path", "content")
-    return references.find_examples(docs, names).drop("kind_rank", "repo")
+    return references.find_examples(docs, names, small_parts=True).drop("kind_rank", "repo")
 
 
 @query

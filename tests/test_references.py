@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from driftspark.operators import references as refs
 from driftspark.operators.joins import salted_lookup
@@ -144,6 +145,24 @@ def test_a_long_list_does_not_go_to_the_texts(docs, changed, monkeypatch, limit)
     assert not refs.goes_to_the_texts(docs, names)
 
 
+@pytest.mark.parametrize("two_phase", [False, True])
+def test_written_examples_hold_each_code_about_once(spark, tmp_path, two_phase):
+    body = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: F.sha2(F.concat_ws("-", "id", i), 256)))
+    used = F.lit(" ".join(f"api{i}" for i in range(20)))
+    content = F.concat(F.lit("```\n"), used, F.lit("\n"), body, F.lit("\n```"))
+    texts = spark.range(0, 100, 1, 1).select(F.lit("r").alias("repo"), F.concat("id", F.lit(".md")).alias("path"), content.alias("content"))
+    rows = [("r", "a.ts", f"api{i}", i, 1) for i in range(20)]
+    names = refs.search_names(spark.createDataFrame(rows, "repo string, path string, name string, ordinal int, kind_rank int"))
+    found = {parts: refs.find_examples(texts, names, two_phase=two_phase, small_parts=parts) for parts in (True, False)}
+    size = {}
+    for parts, rows in found.items():
+        out = tmp_path / str(parts)
+        rows.write.parquet(str(out))
+        size[parts] = sum(f.stat().st_size for f in out.glob("*.parquet"))
+        assert spark.read.parquet(str(out)).distinct().count() == 2000
+    assert size[True] * 3 < size[False], size
+
+
 def fences_by_hand(text):
     found, start, language = [], None, ""
     lines = text.split("\n")
