@@ -45,13 +45,15 @@ def _with_texts(
 ) -> DataFrame:
     """Hits (positions only) of each document, joined once to the document's lines.
 
-    One row per hit with ``where``, the API columns and ``lines``. A document's hits are
+    One row per hit with ``where``, the API columns and ``lines``, in the order of ``where``: rows with
+    the same text follow each other, so a writer's compression finds it. A document's hits are
     bounded by its own lines times the APIs that a line names. With ``parts`` the documents are dealt
     to as many tasks.
     """
     keys = [*scope, "path"]
     entry = F.struct(*where, "api_name", *API_COLUMNS)
-    found = hits.groupBy(*keys).agg(F.collect_list(entry).alias("hits"))
+    # hits come from all over the search list: before the shuffle there is little of a document to collect
+    found = hits.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("hits"))
     joined = docs.select(*keys, "content").join(found, keys)
     joined = joined.repartition(parts, *keys) if parts else joined
     return joined.select(*keys, lines_of(F.col("content")).alias("lines"), "hits").select(

@@ -163,6 +163,18 @@ def test_written_examples_hold_each_code_about_once(spark, tmp_path, two_phase):
     assert size[True] * 3 < size[False], size
 
 
+def test_hits_of_two_phases_come_in_the_order_of_the_text(spark):
+    words = ["zeta", "alpha", "mid"]
+    content = "\n".join(" ".join(words[: 1 + i % 3]) for i in range(30))
+    texts = spark.createDataFrame([("r", "a.md", content), ("r", "b.md", content)], FILES)
+    rows = [("r", "a.ts", n, i, 1) for i, n in enumerate(words)]
+    names = refs.search_names(spark.createDataFrame(rows, "repo string, path string, name string, ordinal int, kind_rank int"))
+    found = refs.find_references(texts, names.hint("merge"), two_phase=True).collect()
+    for path in ("a.md", "b.md"):
+        numbers = [r.line_no for r in found if r.path == path]
+        assert len(numbers) == 60 and numbers == sorted(numbers)  # a line's rows, which share a context, are neighbours
+
+
 def fences_by_hand(text):
     found, start, language = [], None, ""
     lines = text.split("\n")
