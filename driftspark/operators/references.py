@@ -48,19 +48,24 @@ def _with_texts(
     One row per hit with ``where``, the API columns and ``lines``, in the order of ``where``: rows with
     the same text follow each other, so a writer's compression finds it. A document's hits are
     bounded by its own lines times the APIs that a line names. With ``parts`` the documents are dealt
-    to as many tasks.
+    to as many tasks, by the shuffles of a sort-merge join or after a broadcast one.
     """
     keys = [*scope, "path"]
     entry = F.struct(*where, "api_name", *API_COLUMNS)
     # hits come from all over the search list: before the shuffle there is little of a document to collect
-    found = hits.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("hits"))
-    joined = docs.select(*keys, "content").join(found, keys)
-    joined = joined.repartition(parts, *keys) if parts else joined
+    found = _dealt(hits, keys, parts).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("hits"))
+    texts = docs.select(*keys, "content")
+    # Spark leaves out the last repartition where the join's sides are dealt so already
+    joined = _dealt(_dealt(texts, keys, parts).join(found, keys), keys, parts) if parts else texts.join(found, keys)
     return joined.select(*keys, lines_of(F.col("content")).alias("lines"), "hits").select(
         *keys, "lines", F.inline("hits")
     )
 
 
+def _dealt(rows: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    return rows.repartition(parts, *keys) if parts else rows.repartition(*keys)
+
+
 def _verified(hits: DataFrame, text: Column) -> DataFrame:
     name = F.col("api_name")
     return hits.filter(is_plain_name(name) | names_whole_word(text, name))
@@ -92,6 +97,7 @@ def find_references(
     names: DataFrame,
     scope: Sequence[str] = ("repo",),
     two_phase: bool | None = None,
+    small_parts: bool = False,
 ) -> DataFrame:
     """One row per document line and API row it names, with the line's context.
 
@@ -100,7 +106,8 @@ def find_references(
 
     A list that every task can hold meets the lines where they are read; nothing is shuffled.
     In two phases, by default for a longer list or repeated paths, only tokens and line numbers meet it;
-    Spark splits a frequent token's rows. The text is then joined once per document that has a hit.
+    Spark splits a frequent token's rows. The text is then joined once per document that has a hit; with
+    ``small_parts`` in tasks of about ``PART_BYTES`` of text, as :func:`find_examples` says.
     """
     keys = [*scope, "path"]
     result = ["context", F.lit("name").alias("reference_type"), "api_name", *API_COLUMNS]
@@ -109,7 +116,8 @@ def find_references(
     if two_phase or (two_phase is None and not goes_to_the_texts(docs, names, scope)):
         lines = docs.select(*keys, F.posexplode(lines_of(F.col("content"))).alias("pos", "line"))
         tokens = lines.select(*keys, "pos", F.explode(tokens_of(F.col("line"))).alias("token"))
-        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), ["pos"], scope)
+        parts = _parts(docs, copies=3) if small_parts else 0  # a line stands in three contexts
+        hits = _with_texts(docs, tokens.join(names, [*scope, "token"]), ["pos"], scope, parts)
         proven = _verified(hits, F.get("lines", F.col("pos")))
         return proven.select(*keys, number, around, "api_name", *API_COLUMNS).select(*keys, "line_no", *result)
     lined = docs.dropna(subset=keys).select(*keys, lines_of(F.col("content")).alias("lines"))
@@ -156,10 +164,10 @@ def find_examples(
     return _named(dealt, names, F.col("code"), scope).select(*keys, *place, "code", "api_name", *API_COLUMNS)
 
 
-def _parts(docs: DataFrame) -> int:
-    """Number of parts with about ``PART_BYTES`` of text."""
+def _parts(docs: DataFrame, copies: int = 1) -> int:
+    """Number of parts with about ``PART_BYTES`` of text that stands in the rows ``copies`` times."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0))).first()[0]
-    return max(1, -(-size // PART_BYTES))
+    return max(1, -(-size * copies // PART_BYTES))
 
 
 def missing_docs(

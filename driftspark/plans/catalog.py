@@ -373,7 +373,7 @@ def line_references_two_phase(spark, sf_dir):
     """C6 as for a search list that cannot be broadcast."""
     _, names = _search(spark, sf_dir)
     docs = b.prose_docs(spark, sf_dir)
-    return references.find_references(docs, names.hint("merge"), two_phase=True).drop("kind_rank")
+    return references.find_references(docs, names.hint("merge"), two_phase=True, small_parts=True).drop("kind_rank")
 
 
 @query

@@ -163,6 +163,22 @@ def test_written_examples_hold_each_code_about_once(spark, tmp_path, two_phase):
     assert size[True] * 3 < size[False], size
 
 
+def test_written_references_hold_each_context_about_once(spark, tmp_path):
+    used = F.lit(" ".join(f"api{i}" for i in range(20)))
+    line = lambda i: F.concat_ws(" ", used, *[F.sha2(F.concat_ws("-", "id", i, F.lit(k)), 256) for k in range(5)])
+    content = F.concat_ws("\n", F.transform(F.sequence(F.lit(1), F.lit(100)), line))
+    texts = spark.range(0, 100, 1, 1).select(F.concat(F.lit("r"), F.col("id") % 2).alias("repo"), F.concat("id", F.lit(".md")).alias("path"), content.alias("content"))
+    rows = [(f"r{i % 2}", "a.ts", f"api{i // 2}", i, 1) for i in range(40)]
+    names = refs.search_names(spark.createDataFrame(rows, "repo string, path string, name string, ordinal int, kind_rank int"))
+    size = {}
+    for parts in (True, False):
+        found = refs.find_references(texts, names, two_phase=True, small_parts=parts)
+        found.write.parquet(str(tmp_path / str(parts)))
+        size[parts] = sum(f.stat().st_size for f in (tmp_path / str(parts)).glob("*.parquet"))
+        assert spark.read.parquet(str(tmp_path / str(parts))).distinct().count() == 200_000
+    assert size[True] * 1.3 < size[False], size
+
+
 def test_hits_of_two_phases_come_in_the_order_of_the_text(spark):
     words = ["zeta", "alpha", "mid"]
     content = "\n".join(" ".join(words[: 1 + i % 3]) for i in range(30))
